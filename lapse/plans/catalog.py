@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import labels
+from . import features, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,5 +24,18 @@ def queries() -> dict[str, Query]:
         "label_rule_rates": labels.label_rule_rates,
         "label_distribution": labels.label_distribution,
         "last_activity_year": labels.last_activity_year,
+        # features
+        "tx_features": features.tx_features,
+        "balance_last": features.balance_last,
+        "tenure_days": features.tenure_days,
+        "tx_rate": features.tx_rate,
+        "semi_members": features.semi_members_query,
+        "standing_orders": features.standing_orders,
+        "bridge_holders": features.bridge_holders,
+        "product_flags": features.product_flags,
+        "product_flags_asof": features.product_flags_asof,
+        "join_key_audit": features.join_key_audit,
+        "dimension_enrich": features.dimension_enrich,
+        "feature_table": features.feature_table,
     }
     return q
