@@ -20,8 +20,7 @@ def parse_yymmdd(c, century: str = "19") -> Column:
     Spark's ``yyMMdd`` pivots 93 to 2093; the century is prefixed instead, and
     ``try_to_date`` yields NULL for dates impossible in that century.
     """
-    return F.try_to_date(F.concat(F.lit(century), F.lpad(_c(c).cast("string"), 6, "0")),
-                         F.lit("yyyyMMdd"))
+    return F.try_to_date(F.concat(F.lit(century), F.lpad(_c(c).cast("string"), 6, "0")), "yyyyMMdd")
 
 
 def parse_yymmdd_time(c, century: str = "19") -> Column:
@@ -115,4 +114,4 @@ def birth_date(bn, century: int = 1900) -> Column:
     month = F.when(mm > 50, mm - 50).otherwise(mm)
     year = F.lit(century) + F.substring(s, 1, 2).cast("int")
     text = F.concat(year.cast("string"), F.lpad(month.cast("string"), 2, "0"), F.substring(s, 5, 2))
-    return F.try_to_date(text, F.lit("yyyyMMdd"))
+    return F.try_to_date(text, "yyyyMMdd")

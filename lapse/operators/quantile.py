@@ -1,24 +1,26 @@
-"""Exact continuous quantile (linear interpolation, nulls / NaN skipped) at scale.
+"""Exact continuous quantiles (linear interpolation, nulls / NaN skipped) at scale.
 
 Spark's ``percentile`` keeps a value->count map and merges it in a single
-reducer for a global aggregate, which does not survive billions of distinct
-values.  ``quantile_cont`` instead selects the two order statistics it needs
-by histogram refinement, entirely with DataFrame operators:
+reducer per group, which does not survive billions of distinct values in one
+group.  ``quantiles`` instead selects the two order statistics each quantile
+needs by histogram refinement, with DataFrame operators only:
 
-  pass 0  n, min, max                                   (one-row aggregate)
-  pass 1  counts per value bucket, B buckets            (<= B rows)
-  pass 2  counts per sub-bucket inside the hit bucket   (<= 2B rows)
+  pass 0  n, min, max per group                          (one row per group)
+  pass 1  counts per value bucket, B buckets per group   (<= B rows per group)
+  pass 2  counts per sub-bucket inside each hit bucket   (<= B rows per target)
   pass 3  counts per distinct value inside the hit sub-bucket, ranked
 
-Each pass is a distributed, map-side-combined ``groupBy``; the only
-un-partitioned windows run over at most ``B`` bucket rows (a size fixed by
-the parameter, not by the data).  The result is the same value as
-``percentile`` / DuckDB ``quantile_cont``:  lo + (hi - lo) * (pos - floor(pos)),
-pos = q * (n - 1).
+Every pass is a distributed ``groupBy`` with map-side partial aggregation;
+the cumulative windows run over bucket histograms whose size is fixed by the
+parameter ``buckets`` (not by the data).  Many quantiles and many groups share
+the same passes.  The value equals ``percentile`` / DuckDB ``quantile_cont``:
+lo + (hi - lo) * (pos - floor(pos)),  pos = q * (n - 1).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +32,71 @@ def _bucket(x, lo, width, buckets):
     return F.when(width > 0, F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1))).otherwise(F.lit(0))
 
 
+def _cum(df: DataFrame, part: list[str], order: str) -> DataFrame:
+    w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
+
+
+def quantiles(df: DataFrame, value_col: str, qs: Sequence[float], group_cols: Sequence[str] = (),
+              *, buckets: int = DEFAULT_BUCKETS, alias: str = "value") -> DataFrame:
+    """Rows ``(*group_cols, q, alias)`` for every non-empty group and every q.
+
+    The per-group frames joined back are one row per group (or per target);
+    callers keep the group count small (columns of a profile, model names).
+    """
+    g = list(group_cols) or ["_g"]
+    src = df if group_cols else df.withColumn("_g", F.lit(0))
+    x = (src.select(*g, F.col(value_col).cast("double").alias("x"))
+            .where(F.col("x").isNotNull() & ~F.isnan("x")))
+    stats = (x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x_min"),
+                                F.max("x").alias("x_max"))
+              .withColumn("width", F.col("x_max") - F.col("x_min")))
+    qarr = F.array(*[F.lit(float(q)) for q in qs])
+    targets = (stats.select(*g, "n", F.posexplode(qarr).alias("qi", "q"))
+                    .withColumn("pos", F.col("q") * (F.col("n") - 1).cast("double"))
+                    .select(*g, "qi", "q", "pos", F.explode(F.array(
+                        F.struct(F.lit(0).alias("t"), F.floor("pos").cast("long").alias("r")),
+                        F.struct(F.lit(1).alias("t"), F.ceil("pos").cast("long").alias("r")))).alias("tr"))
+                    .select(*g, "qi", "q", "pos", "tr.t", "tr.r"))
+    tk = ["qi", "t"]
+
+    xs = (x.join(F.broadcast(stats.select(*g, "x_min", "width")), g)
+           .withColumn("b1", _bucket(F.col("x"), F.col("x_min"), F.col("width"), buckets)))
+
+    # pass 1: histogram per group
+    h1 = _cum(xs.groupBy(*g, "b1").agg(F.count(F.lit(1)).alias("c")), g, "b1")
+    sel1 = (F.broadcast(targets.select(*g, *tk, "r")).alias("T")
+             .join(h1.alias("H"), [F.col(f"T.{c}") == F.col(f"H.{c}") for c in g]
+                   + [F.col("T.r") >= F.col("H.lo"), F.col("T.r") < F.col("H.hi")])
+             .select(*[F.col(f"T.{c}") for c in g], "T.qi", "T.t",
+                     (F.col("T.r") - F.col("H.lo")).alias("r1"), F.col("H.b1")))
+
+    # pass 2: the hit bucket split into B sub-buckets
+    sub_w = F.col("width") / F.lit(buckets)
+    sub_lo = F.col("x_min") + F.col("b1") * sub_w
+    x2 = (xs.join(F.broadcast(sel1), g + ["b1"])
+            .withColumn("b2", _bucket(F.col("x"), sub_lo, sub_w, buckets)))
+    h2 = _cum(x2.groupBy(*g, *tk, "r1", "b1", "b2").agg(F.count(F.lit(1)).alias("c")), g + tk, "b2")
+    sel2 = (h2.where((F.col("r1") >= F.col("lo")) & (F.col("r1") < F.col("hi")))
+              .select(*g, *tk, (F.col("r1") - F.col("lo")).alias("r2"), "b1", "b2"))
+
+    # pass 3: distinct values inside the hit sub-bucket
+    x3 = x2.join(F.broadcast(sel2), g + tk + ["b1", "b2"])
+    h3 = _cum(x3.groupBy(*g, *tk, "r2", "x").agg(F.count(F.lit(1)).alias("c")), g + tk, "x")
+    picked = (h3.where((F.col("r2") >= F.col("lo")) & (F.col("r2") < F.col("hi")))
+                .groupBy(*g, "qi").agg(F.max(F.when(F.col("t") == 0, F.col("x"))).alias("v_lo"),
+                                       F.max(F.when(F.col("t") == 1, F.col("x"))).alias("v_hi")))
+    pos = targets.where(F.col("t") == 0).select(*g, "qi", "q", "pos")
+    frac = F.col("pos") - F.floor("pos")
+    out = (pos.join(picked, g + ["qi"])
+              .select(*g, "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias(alias)))
+    return out if group_cols else out.drop("_g")
+
+
 def quantile_cont(df: DataFrame, col: str, q: float, *, alias: str = "value",
                   exact: bool = True, buckets: int = DEFAULT_BUCKETS,
                   accuracy: int = 100000) -> DataFrame:
-    """One-row DataFrame ``[alias]`` holding the q-quantile of ``col``.
+    """One-row DataFrame ``[alias]`` (NULL when there is no value).
 
     ``exact=False`` uses the mergeable GK sketch (``percentile_approx``).
     """
@@ -41,52 +104,14 @@ def quantile_cont(df: DataFrame, col: str, q: float, *, alias: str = "value",
            .where(F.col("x").isNotNull() & ~F.isnan("x")))
     if not exact:
         return x.agg(F.percentile_approx("x", F.lit(q), accuracy).alias(alias))
+    v = quantiles(df, col, [q], buckets=buckets, alias=alias).select(alias)
+    return df.sparkSession.range(1).select(v.scalar().alias(alias))
 
-    stats = (x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x_min"), F.max("x").alias("x_max"))
-              .withColumn("pos", F.lit(float(q)) * (F.col("n") - 1).cast("double"))
-              .withColumn("width", F.col("x_max") - F.col("x_min")))
-    # Two target ranks (0-based): floor(pos) and ceil(pos).
-    targets = stats.where(F.col("n") > 0).select(
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("t"), F.floor("pos").cast("long").alias("r")),
-            F.struct(F.lit(1).alias("t"), F.ceil("pos").cast("long").alias("r")),
-        )).alias("tr")).select("tr.t", "tr.r")
-
-    xs = x.crossJoin(F.broadcast(stats.select("x_min", "width")))
-    xs = xs.withColumn("b1", _bucket(F.col("x"), F.col("x_min"), F.col("width"), buckets))
-
-    # pass 1: histogram over B buckets, cumulative counts on <= B rows
-    w1 = Window.orderBy("b1").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h1 = (xs.groupBy("b1").agg(F.count(F.lit(1)).alias("c"))
-            .withColumn("hi", F.sum("c").over(w1))
-            .withColumn("lo", F.col("hi") - F.col("c")))
-    sel1 = (F.broadcast(targets).join(h1, (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("hi")))
-             .select("t", (F.col("r") - F.col("lo")).alias("r1"), "b1"))
-
-    # pass 2: the hit bucket split again into B sub-buckets
-    sub_w = F.col("width") / F.lit(buckets)
-    sub_lo = F.col("x_min") + F.col("b1") * sub_w
-    x2 = (xs.join(F.broadcast(sel1), "b1")
-            .withColumn("b2", _bucket(F.col("x"), sub_lo, sub_w, buckets)))
-    w2 = (Window.partitionBy("t").orderBy("b2")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    h2 = (x2.groupBy("t", "r1", "b1", "b2").agg(F.count(F.lit(1)).alias("c"))
-            .withColumn("hi", F.sum("c").over(w2))
-            .withColumn("lo", F.col("hi") - F.col("c")))
-    sel2 = (h2.where((F.col("r1") >= F.col("lo")) & (F.col("r1") < F.col("hi")))
-              .select("t", (F.col("r1") - F.col("lo")).alias("r2"), "b1", "b2"))
 
-    # pass 3: distinct values inside the hit sub-bucket
-    x3 = x2.join(F.broadcast(sel2), ["t", "b1", "b2"])
-    w3 = (Window.partitionBy("t").orderBy("x")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    h3 = (x3.groupBy("t", "r2", "x").agg(F.count(F.lit(1)).alias("c"))
-            .withColumn("hi", F.sum("c").over(w3))
-            .withColumn("lo", F.col("hi") - F.col("c")))
-    picked = (h3.where((F.col("r2") >= F.col("lo")) & (F.col("r2") < F.col("hi")))
-                .groupBy().agg(F.max(F.when(F.col("t") == 0, F.col("x"))).alias("v_lo"),
-                               F.max(F.when(F.col("t") == 1, F.col("x"))).alias("v_hi")))
-    frac = F.col("pos") - F.floor("pos")
-    return (stats.crossJoin(picked)
-                 .select(F.when(F.col("n") > 0,
-                                F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias(alias)))
+def quantile_array(df: DataFrame, col: str, qs: Sequence[float], *, alias: str = "edges",
+                   buckets: int = DEFAULT_BUCKETS):
+    """Scalar-subquery Column: array of the quantiles in ascending q order."""
+    v = quantiles(df, col, qs, buckets=buckets)
+    arr = v.agg(F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))),
+                            lambda s: s["value"]).alias(alias))
+    return arr.scalar()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import features, labels
+from . import cleaning, dataset, features, labels, metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,5 +37,44 @@ def queries() -> dict[str, Query]:
         "join_key_audit": features.join_key_audit,
         "dimension_enrich": features.dimension_enrich,
         "feature_table": features.feature_table,
+        # sources, cleaning, audits
+        "scan_reject_nonnumeric": cleaning.scan_reject_nonnumeric,
+        "json_record_parse": cleaning.json_record_parse,
+        "json_sample_row": cleaning.json_sample_row,
+        "reject_incomplete": cleaning.reject_incomplete,
+        "parse_yymmdd": cleaning.parse_yymmdd_q,
+        "decode_birth_number": cleaning.decode_birth_number,
+        "numeric_profile": cleaning.numeric_profile,
+        "null_census": cleaning.null_census,
+        "sentinel_census": cleaning.sentinel_census,
+        "table_shapes": cleaning.table_shapes,
+        "date_range_audit": cleaning.date_range_audit,
+        # dataset
+        "align_features": dataset.align_features,
+        "coerce_numeric": dataset.coerce_numeric_q,
+        "median_impute": dataset.median_impute,
+        "one_hot": dataset.one_hot,
+        "one_hot_drop_first": dataset.one_hot_drop_first,
+        "standard_scale": dataset.standard_scale_q,
+        "design_matrix": dataset.design_matrix,
+        "stratified_split": dataset.stratified_split_q,
+        "stratified_split3": dataset.stratified_split3_q,
+        "split_audit": dataset.split_audit,
+        "class_weight": dataset.class_weight,
+        # scoring and metrics
+        "baseline_majority": metrics.baseline_majority,
+        "risk_tiers": metrics.risk_tiers,
+        "tier_summary": metrics.tier_summary,
+        "threshold_sweep": metrics.threshold_sweep,
+        "roc_auc": metrics.roc_auc,
+        "average_precision": metrics.average_precision,
+        "brier": metrics.brier,
+        "roc_points": metrics.roc_points,
+        "pr_points": metrics.pr_points,
+        "confusion_matrix": metrics.confusion_matrix,
+        "classification_report": metrics.classification_report,
+        "calibration_bins": metrics.calibration_bins,
+        "topk_accounts": metrics.topk_accounts,
+        "linear_attribution": metrics.linear_attribution,
     }
     return q

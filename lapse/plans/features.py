@@ -10,6 +10,7 @@ from ..functions.columns import annual_rate, tenure_days as tenure_expr
 from ..operators.membership import bridge_keys, existence_flag, key_audit, semi_members
 from ..sources.tables import (MONEY, accounts, cards, dispositions, districts, loans, read_table,
                               standing_orders_src, transactions)
+from ..session import materialize
 from .activity import account_activity, mean_of
 from .labels import churn_label, eligible_activity
 
@@ -127,14 +128,15 @@ FEATURE_ORDER = [
 
 
 def feature_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, as_of: str | None = None,
-                  label: DataFrame | None = None) -> DataFrame:
+                  label: DataFrame | None = None, fill: bool = True) -> DataFrame:
     """one row per valid (labelled) account.
 
     All per-account inputs are aggregated before joining, so every join is
     key-unique; the activity aggregate is shared by label and tx features.
     """
-    act = eligible_activity(spark, sf_dir, w)
-    lab = label if label is not None else churn_label(spark, sf_dir, w)
+    # one activity aggregate feeds both the label and the tx features
+    act = materialize(eligible_activity(spark, sf_dir, w))
+    lab = label if label is not None else churn_label(spark, sf_dir, w, act=act)
     spine = lab.select("account_id", "churned")
     t = tenure_expr("open_date", w.obs_end_lit)
     txf = act.select("account_id", t.alias("tenure_days"), *_tx_feature_cols())
@@ -144,5 +146,7 @@ def feature_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, as_of:
     feat = _flags(feat, spark, sf_dir, as_of)
     feat = (feat.join(standing_orders_agg(spark, sf_dir), "account_id", "left")
                 .join(F.broadcast(districts(spark, sf_dir)), "district_id", "left"))
-    feat = feat.fillna({"n_orders": 0, "order_amount_sum": 0.0, "tx_amount_std": 0.0})
+    if fill:
+        # early fill of the reference; every other NULL is filled in the design matrix
+        feat = feat.fillna({"n_orders": 0, "order_amount_sum": 0.0, "tx_amount_std": 0.0})
     return feat.select(*FEATURE_ORDER)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import WINDOWS, Windows
 from ..functions.columns import flag_le, flag_lt, in_range
 from ..operators.quantile import quantile_cont
+from ..session import materialize
 from ..sources.tables import accounts, transactions
 from .activity import account_activity, mean_of
 
@@ -37,18 +38,23 @@ def ratio_threshold_of(valid: DataFrame, w: Windows = WINDOWS, exact: bool = Tru
     return quantile_cont(valid, "balance_ratio", w.churn_quantile, alias="threshold", exact=exact)
 
 
-def churn_label(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, exact: bool = True) -> DataFrame:
-    """Bottom-decile balance ratio (ties included), missing ratio -> not churned."""
-    valid = _ratio_frame(eligible_activity(spark, sf_dir, w))
-    thr = ratio_threshold_of(valid, w, exact)
-    # one-row threshold: broadcast cross join keeps it in the plan (no collect)
-    return (valid.crossJoin(F.broadcast(thr))
-                 .select("account_id", "avg_balance_obs", "avg_balance_label", "balance_ratio",
-                         flag_le("balance_ratio", "threshold").alias("churned")))
+def churn_label(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, exact: bool = True,
+                act: DataFrame | None = None) -> DataFrame:
+    """Bottom-decile balance ratio (ties included), missing ratio -> not churned.
+
+    The per-account ratios are checkpointed once: the quantile passes and
+    the final flag read them instead of re-aggregating the transactions.
+    """
+    act = act if act is not None else eligible_activity(spark, sf_dir, w)
+    valid = materialize(_ratio_frame(act))
+    # the threshold is a scalar subquery: computed once, no collect, no join
+    thr = ratio_threshold_of(valid, w, exact).scalar()
+    return valid.select("account_id", "avg_balance_obs", "avg_balance_label", "balance_ratio",
+                        flag_le("balance_ratio", thr).alias("churned"))
 
 
 def ratio_threshold(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    valid = _ratio_frame(eligible_activity(spark, sf_dir, w))
+    valid = materialize(_ratio_frame(eligible_activity(spark, sf_dir, w)))
     return ratio_threshold_of(valid, w)
 
 
@@ -113,9 +119,8 @@ def label_distribution(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -
     """Churned value, count and share (total from a one-row aggregate)."""
     lab = churn_label(spark, sf_dir, w)
     counts = lab.groupBy("churned").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return (counts.crossJoin(F.broadcast(total))
-                  .select("churned", "n", (F.col("n") / F.col("total")).alias("share")))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select("churned", "n", (F.col("n") / total).alias("share"))
 
 
 def window_split_counts(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:

@@ -107,13 +107,13 @@ long AS (
   UNION ALL SELECT 'count_drop_lastyear', count_drop_lastyear FROM flags
   UNION ALL SELECT 'balance_drop', balance_drop FROM flags
   UNION ALL SELECT 'balance_ratio_decile', churned FROM label)
-SELECT rule, count(*) AS n, sum(churned) AS positives, sum(churned) / count(*) AS rate
+SELECT rule, count(*) AS n, CAST(sum(churned) AS BIGINT) AS positives, sum(churned) / count(*) AS rate
 FROM long GROUP BY rule""",
         "label_distribution": with_(*LABEL_CHAIN, w=w) + """
 SELECT churned, count(*) AS n, count(*) / sum(count(*)) OVER () AS share
 FROM label GROUP BY churned""",
         "last_activity_year": with_("tx", "act", w=w) + """
-SELECT year(last_date) AS year, count(*) AS n_accounts FROM act GROUP BY year(last_date)""",
+SELECT CAST(year(last_date) AS INTEGER) AS year, count(*) AS n_accounts FROM act GROUP BY year(last_date)""",
     }
 
 

@@ -16,8 +16,13 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # Broadcast only below a fixed size; anything larger takes a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # checkpoint files of collected DataFrames are removed by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Only for a local master (tests, bench): the driver JVM is the whole cluster.
+LOCAL_CONF = {"spark.driver.memory": "16g"}
+
 
 def get_session(master: str | None = None, app: str = "lapse",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
@@ -26,6 +31,9 @@ def get_session(master: str | None = None, app: str = "lapse",
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        for k, v in LOCAL_CONF.items():
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -51,11 +59,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    Used where one intermediate feeds several passes of the same query (the
+    label ratios, the activity table, the scored table): it is computed once,
+    and later stages re-read it instead of re-running its lineage.  The
+    output partitioning is kept, so joins on the same key do not re-shuffle.
+    """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+materialize = cut_lineage
+
+
 def scratch_table(spark: SparkSession, name: str) -> str:
     """Path for a written intermediate table inside the shared checkpoint folder."""
     base = checkpoint_dir(spark)
