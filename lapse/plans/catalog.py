@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..models import train
+from ..streaming import scoring
 from . import cleaning, dataset, features, labels, metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,5 +78,19 @@ def queries() -> dict[str, Query]:
         "calibration_bins": metrics.calibration_bins,
         "topk_accounts": metrics.topk_accounts,
         "linear_attribution": metrics.linear_attribution,
+        # Spark ML (rows-only checks)
+        "model_logreg": train.model_logreg,
+        "model_forest": train.model_forest,
+        "model_gbt": train.model_gbt,
+        "ablation": train.ablation,
+        "calibrated_scores": train.calibrated_scores,
+        "calibration_gain": train.calibration_gain,
+        "feature_importance": train.feature_importance,
+        "permutation_importance": train.permutation_importance,
+        "score_batch": train.score_batch,
+        "run_metrics": train.run_metrics,
+        "best_run": train.best_run,
+        # Structured Streaming
+        "score_stream": scoring.score_stream,
     }
     return q
