@@ -91,9 +91,40 @@ def risk_tier(p, high: float = TIER_HIGH, medium: float = TIER_MEDIUM) -> Column
              .otherwise(F.lit("Low")))
 
 
+def py_round(x, d: int) -> Column:
+    """Python ``round(x, d)`` for doubles, as JVM-side expressions.
+
+    Python rounds the exact binary value, half-even only on an exact binary tie
+    (0.59375 = 19/32).  Spark's ``round`` / ``bround`` round the
+    shortest decimal text instead; they differ only when that text is itself
+    a tie (0.00015 -> text tie, binary value 0.000149999...).  In that case
+    the side of the tie is decided exactly: p = x*M plus the error of that
+    product (Dekker split, exact in IEEE doubles) compared with 2k+1.
+    """
+    x = _c(x).cast("double")
+    a = F.abs(x)
+    scale = 10 ** d
+    dec = a.cast("decimal(38,18)")                      # the shortest text, exactly
+    t = dec * F.lit(scale * 10)
+    is_tie = (t == F.floor(t)) & (F.floor(t) % 10 == 5)
+    m = float(2 * scale)                                # tie T = N / M with N odd
+    n = (F.floor(t) / 5).cast("double")                 # N = 2k + 1
+    split = F.lit(134217729.0) * a                      # 2^27 + 1
+    a_hi = split - (split - a)
+    a_lo = a - a_hi
+    prod = a * F.lit(m)
+    err = (a_hi * F.lit(m) - prod) + a_lo * F.lit(m)
+    diff = (prod - n) + err
+    k = F.floor(dec * F.lit(scale))
+    up = F.when(diff > 0, 1).when((diff == 0) & (k % 2 == 1), 1).otherwise(0)
+    tie_val = ((k + up) / F.lit(scale)).cast("double")
+    mag = F.when(is_tie, tie_val).otherwise(F.round(a, d))
+    return F.when(x.isNull() | F.isnan(x), x).otherwise(F.when(x < 0, -mag).otherwise(mag))
+
+
 def round_prob(p, decimals: int = PROB_DECIMALS) -> Column:
-    """Python ``round`` (half-even) of the probability."""
-    return F.bround(_c(p), decimals)
+    """Python ``round(prob, 4)`` of the scorer."""
+    return py_round(p, decimals)
 
 
 def floor_score(x, scale: int = 10000) -> Column:

@@ -13,12 +13,15 @@ from ..sources.tables import accounts, transactions
 from .activity import account_activity, mean_of
 
 
+def eligible_from(act: DataFrame, spine: DataFrame, w: Windows = WINDOWS) -> DataFrame:
+    """Activity rows of spine accounts opened at least ``min_tenure_days`` before obs_end."""
+    cut = F.date_sub(F.lit(w.obs_end_lit).cast("date"), w.min_tenure_days)
+    return act.where(F.col("open_date") <= cut).join(spine.select("account_id"), "account_id", "left_semi")
+
+
 def eligible_activity(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    """Activity rows of spine accounts opened at least ``min_tenure_days`` before obs_end."""
     act = account_activity(transactions(spark, sf_dir), w)
-    cut = F.date_sub(F.lit(w.obs_end_lit).cast("date"), w.min_tenure_days)
-    spine = accounts(spark, sf_dir).select("account_id")
-    return act.where(F.col("open_date") <= cut).join(spine, "account_id", "left_semi")
+    return eligible_from(act, accounts(spark, sf_dir), w)
 
 
 def eligible_accounts(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
@@ -46,6 +49,11 @@ def churn_label(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, exact: b
     the final flag read them instead of re-aggregating the transactions.
     """
     act = act if act is not None else eligible_activity(spark, sf_dir, w)
+    return label_from(act, w, exact)
+
+
+def label_from(act: DataFrame, w: Windows = WINDOWS, exact: bool = True) -> DataFrame:
+    """L5 on an eligible activity frame."""
     valid = materialize(_ratio_frame(act))
     # the threshold is a scalar subquery: computed once, no collect, no join
     thr = ratio_threshold_of(valid, w, exact).scalar()
