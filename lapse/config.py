@@ -42,6 +42,11 @@ class Windows:
         return self.base_start.isoformat()
 
 
+# Largest group an operator may hand to ONE task (a sort, a sorted array, an
+# un-partitioned window).  Measured per query before the plan is chosen; above
+# it the multi-level distributed path runs.  Same role as a broadcast size check.
+SINGLE_TASK_ROWS = 2_000_000
+
 # Fixed values of the reference's scoring contract (risk tiers, rounding).
 TIER_HIGH = 0.20
 TIER_MEDIUM = 0.10

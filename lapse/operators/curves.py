@@ -20,19 +20,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import SINGLE_TASK_ROWS
+from .quantile import largest_group
+
 CURVE_BUCKETS = 64
 
 
 def score_curve(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (),
-                buckets: int = CURVE_BUCKETS) -> DataFrame:
+                buckets: int = CURVE_BUCKETS, single_task_rows: int | None = None) -> DataFrame:
     """Rows (groups, score, pos, neg, tp, fp, P, N): tp/fp count rows with
-    score >= this score; P/N are group totals."""
+    score >= this score; P/N are group totals.
+
+    When every group has few distinct scores (measured), one window per group
+    does the running sums; otherwise the two-level prefix sum below runs.
+    """
     g = list(group_cols) or ["_g"]
     src = df if group_cols else df.withColumn("_g", F.lit(0))
     y = F.col(label).cast("long")
     d = (src.where(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
             .groupBy(*g, F.col(score).cast("double").alias("s"))
             .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    if largest_group(d, g) <= limit:
+        wr = Window.partitionBy(*g).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        wg = Window.partitionBy(*g)
+        out = (d.withColumn("tp", F.sum("pos").over(wr)).withColumn("fp", F.sum("neg").over(wr))
+                .withColumn("P", F.sum("pos").over(wg)).withColumn("N", F.sum("neg").over(wg))
+                .select(*g, "s", "pos", "neg", "tp", "fp", "P", "N"))
+        return out if group_cols else out.drop("_g")
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     edges = d.groupBy(*g).agg(F.percentile_approx("s", probs, 10000).alias("_edges"))
     # descending order: bucket 0 holds the highest scores

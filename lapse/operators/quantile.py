@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import SINGLE_TASK_ROWS
+
 DEFAULT_BUCKETS = 1 << 12
 
 
@@ -37,17 +39,33 @@ def _cum(df: DataFrame, part: list[str], order: str) -> DataFrame:
     return df.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
 
 
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Row count of the largest group (one small aggregate, one number to the driver)."""
+    g = list(group_cols)
+    if not g:
+        return df.count()
+    r = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(r or 0)
+
+
 def quantiles(df: DataFrame, value_col: str, qs: Sequence[float], group_cols: Sequence[str] = (),
-              *, buckets: int = DEFAULT_BUCKETS, alias: str = "value") -> DataFrame:
+              *, buckets: int = DEFAULT_BUCKETS, alias: str = "value",
+              single_task_rows: int | None = None) -> DataFrame:
     """Rows ``(*group_cols, q, alias)`` for every non-empty group and every q.
 
-    The per-group frames joined back are one row per group (or per target);
-    callers keep the group count small (columns of a profile, model names).
+    The group sizes are measured first: groups that fit one task are sorted
+    there (``array_sort(collect_list)``, one pass); otherwise the histogram
+    refinement below runs.  The per-group frames joined back are one row per
+    group (or per target); callers keep the group count small.
     """
     g = list(group_cols) or ["_g"]
     src = df if group_cols else df.withColumn("_g", F.lit(0))
     x = (src.select(*g, F.col(value_col).cast("double").alias("x"))
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    if largest_group(x, g) <= limit:
+        out = _sorted_quantiles(x, g, qs, alias)
+        return out if group_cols else out.drop("_g")
     stats = (x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x_min"),
                                 F.max("x").alias("x_max"))
               .withColumn("width", F.col("x_max") - F.col("x_min")))
@@ -93,6 +111,18 @@ def quantiles(df: DataFrame, value_col: str, qs: Sequence[float], group_cols: Se
     return out if group_cols else out.drop("_g")
 
 
+def _sorted_quantiles(x: DataFrame, g: list[str], qs: Sequence[float], alias: str) -> DataFrame:
+    """Small groups: one sorted array per group, two order statistics per q."""
+    arr = x.groupBy(*g).agg(F.array_sort(F.collect_list("x")).alias("a"), F.count(F.lit(1)).alias("n"))
+    qarr = F.array(*[F.lit(float(q)) for q in qs])
+    t = (arr.select(*g, "a", "n", F.explode(qarr).alias("q"))
+            .withColumn("pos", F.col("q") * (F.col("n") - 1).cast("double")))
+    lo = F.element_at("a", (F.floor("pos") + 1).cast("int"))
+    hi = F.element_at("a", (F.ceil("pos") + 1).cast("int"))
+    frac = F.col("pos") - F.floor("pos")
+    return t.select(*g, "q", (lo + (hi - lo) * frac).alias(alias))
+
+
 def quantile_cont(df: DataFrame, col: str, q: float, *, alias: str = "value",
                   exact: bool = True, buckets: int = DEFAULT_BUCKETS,
                   accuracy: int = 100000) -> DataFrame:

@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import SINGLE_TASK_ROWS
+from .quantile import largest_group
+
 PREFIX_HEX = 3
 
 
@@ -23,8 +26,19 @@ def salted_hash(key: str, salt) -> F.Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{salt}")))
 
 
-def class_rank(df: DataFrame, key: str, label: str, salt) -> DataFrame:
-    """df + ``_rank`` (0-based rank in class by salted hash) + ``_n_class``."""
+def class_rank(df: DataFrame, key: str, label: str, salt, single_task_rows: int | None = None) -> DataFrame:
+    """df + ``_rank`` (0-based rank in class by salted hash) + ``_n_class``.
+
+    Classes that fit one task (measured) are ranked by one window per class;
+    larger ones by the two-level rank below.
+    """
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    if largest_group(df, [label]) <= limit:
+        w1 = Window.partitionBy(label).orderBy("_h", key)
+        return (df.withColumn("_h", salted_hash(key, salt))
+                  .withColumn("_rank", F.row_number().over(w1) - 1)
+                  .withColumn("_n_class", F.count(F.lit(1)).over(Window.partitionBy(label)))
+                  .drop("_h"))
     h = df.withColumn("_h", salted_hash(key, salt)).withColumn(
         "_b", F.conv(F.substring("_h", 1, PREFIX_HEX), 16, 10).cast("int"))
     counts = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_c"))
@@ -47,8 +61,9 @@ def holdout_size(n_class, pct: int):
 
 
 def stratified_split(df: DataFrame, key: str, label: str, pct: int, salt,
-                     held_out: str = "test", rest: str = "train", fold_col: str = "fold") -> DataFrame:
-    r = class_rank(df, key, label, salt)
+                     held_out: str = "test", rest: str = "train", fold_col: str = "fold",
+                     single_task_rows: int | None = None) -> DataFrame:
+    r = class_rank(df, key, label, salt, single_task_rows)
     return (r.withColumn(fold_col, F.when(F.col("_rank") < holdout_size("_n_class", pct), F.lit(held_out))
                                    .otherwise(F.lit(rest)))
              .drop("_rank", "_n_class"))

@@ -20,19 +20,25 @@ def _vals(seed, n, skew=False):
     return v
 
 
+# single_task_rows=0 forces the distributed (histogram / two-level) paths
+PATHS = [None, 0]
+
+
+@pytest.mark.parametrize("limit", PATHS)
 @pytest.mark.parametrize("seed,n,skew", [(1, 1, False), (2, 2, False), (3, 500, False), (4, 999, True)])
-def test_quantiles_equal_numpy(spark, seed, n, skew):
+def test_quantiles_equal_numpy(spark, seed, n, skew, limit):
     v = _vals(seed, n, skew)
     df = spark.createDataFrame([(x,) for x in v] + [(None,), (float("nan"),)], "x double")
     qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {r.q: r.value for r in quantiles(df, "x", qs).collect()}
+    got = {r.q: r.value for r in quantiles(df, "x", qs, single_task_rows=limit).collect()}
     for q in qs:
         assert got[q] == pytest.approx(float(np.percentile(np.array(v), q * 100)), rel=1e-12, abs=1e-12)
 
 
-def test_grouped_quantiles_and_empty(spark):
+@pytest.mark.parametrize("limit", PATHS)
+def test_grouped_quantiles_and_empty(spark, limit):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 10.0), ("c", None)], "g string, x double")
-    got = {(r.g, r.q): r.value for r in quantiles(df, "x", [0.5], ["g"]).collect()}
+    got = {(r.g, r.q): r.value for r in quantiles(df, "x", [0.5], ["g"], single_task_rows=limit).collect()}
     assert got == {("a", 0.5): 2.0, ("b", 0.5): 10.0}
     empty = spark.createDataFrame([(None,)], "x double")
     assert quantile_cont(empty, "x", 0.5).first().value is None
@@ -58,13 +64,14 @@ def _brute_ap(s, y):
     return ap
 
 
+@pytest.mark.parametrize("limit", PATHS)
 @pytest.mark.parametrize("seed", [0, 1, 2])
-def test_auc_ap_against_brute_force(spark, seed):
+def test_auc_ap_against_brute_force(spark, seed, limit):
     rnd = random.Random(seed)
     s = [round(rnd.random(), 2) for _ in range(300)]          # many ties
     y = [int(rnd.random() < 0.2 + 0.5 * x) for x in s]
     df = spark.createDataFrame(list(zip(s, y)), "p double, y int")
-    curve = score_curve(df, "p", "y")
+    curve = score_curve(df, "p", "y", single_task_rows=limit)
     assert auc_from_curve(curve).first().roc_auc == pytest.approx(_brute_auc(s, y), abs=1e-12)
     assert ap_from_curve(curve).first().average_precision == pytest.approx(_brute_ap(s, y), abs=1e-9)
     flipped = df.withColumn("p", 1 - F.col("p"))
@@ -82,9 +89,11 @@ def test_metric_edges(spark):
     assert auc_from_curve(score_curve(two, "p", "y")).first().roc_auc == 0.0
 
 
-def test_grouped_curves(spark):
+@pytest.mark.parametrize("limit", PATHS)
+def test_grouped_curves(spark, limit):
     df = spark.createDataFrame([("a", 0.1, 0), ("a", 0.9, 1), ("b", 0.9, 0), ("b", 0.1, 1)], "g string, p double, y int")
-    got = {r.g: r.roc_auc for r in auc_from_curve(score_curve(df, "p", "y", ["g"]), ["g"]).collect()}
+    got = {r.g: r.roc_auc for r in auc_from_curve(score_curve(df, "p", "y", ["g"], single_task_rows=limit),
+                                                  ["g"]).collect()}
     assert got == {"a": 1.0, "b": 0.0}
 
 
@@ -93,7 +102,8 @@ def test_stratified_split_exact_sizes_and_order_free(spark):
     df = spark.createDataFrame(rows, "k long, y int")
     s1 = {r.k: r.fold for r in stratified_split(df, "k", "y", 20, 42).collect()}
     s2 = {r.k: r.fold for r in stratified_split(df.orderBy(F.rand(7)).repartition(5), "k", "y", 20, 42).collect()}
-    assert s1 == s2
+    s3 = {r.k: r.fold for r in stratified_split(df, "k", "y", 20, 42, single_task_rows=0).collect()}
+    assert s1 == s2 == s3
     test = [k for k, f in s1.items() if f == "test"]
     assert sum(1 for k in test if k % 10 == 0) == 20          # round(100 * 0.2)
     assert sum(1 for k in test if k % 10 != 0) == 180         # round(900 * 0.2)
