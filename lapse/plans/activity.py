@@ -13,15 +13,17 @@ from ..functions.columns import between_dates, in_range
 
 
 def account_activity(tx: DataFrame, w: Windows = WINDOWS) -> DataFrame:
-    """tx(trans_id, account_id, d, amount, balance) -> one row per account.
+    """tx(trans_id, account_id, d, amount_cents, balance_cents) -> one row per account.
 
-    Columns are pruned by Catalyst when a consumer does not reference them.
+    Money is summed as exact LONG cents; ``mean_of`` divides once as DOUBLE,
+    which yields the same double as a DECIMAL sum cast to DOUBLE.  Columns are
+    pruned by Catalyst when a consumer does not reference them.
     """
     d = F.col("d")
     obs = in_range(d, None, w.obs_end_lit)
     base = between_dates(d, w.base_start_lit, w.obs_end_lit)
     label = in_range(d, w.obs_end_lit, w.label_end_lit)
-    bal, amt = F.col("balance"), F.col("amount")
+    bal, amt = F.col("balance_cents"), F.col("amount_cents")
     obs_bal = F.when(obs & bal.isNotNull(), bal)
     return tx.groupBy("account_id").agg(
         F.min(d).alias("open_date"),
@@ -37,7 +39,7 @@ def account_activity(tx: DataFrame, w: Windows = WINDOWS) -> DataFrame:
         F.count(F.when(obs, F.col("trans_id"))).alias("tx_count"),
         F.sum(F.when(obs, amt)).alias("obs_amt_sum"),
         F.count(F.when(obs, amt)).alias("obs_amt_n"),
-        F.stddev_samp(F.when(obs, amt.cast("double"))).alias("obs_amt_std"),
+        F.stddev_samp(F.when(obs, amt.cast("double") / F.lit(100.0))).alias("obs_amt_std"),
         F.sum(obs_bal).alias("obs_bal_sum"),
         F.count(obs_bal).alias("obs_bal_n"),
         F.min(obs_bal).alias("obs_bal_min"),
@@ -46,4 +48,10 @@ def account_activity(tx: DataFrame, w: Windows = WINDOWS) -> DataFrame:
 
 
 def mean_of(sum_col: str, n_col: str):
-    return F.try_divide(F.col(sum_col).cast("double"), F.col(n_col).cast("double"))
+    """Mean of a cents sum: (cents / 100) is the exact-decimal value rounded once."""
+    return F.try_divide(F.col(sum_col).cast("double") / F.lit(100.0), F.col(n_col).cast("double"))
+
+
+def money(col: str):
+    """Cents back to the DOUBLE nearest the decimal amount."""
+    return F.col(col).cast("double") / F.lit(100.0)

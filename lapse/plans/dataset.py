@@ -13,7 +13,7 @@ from ..operators.quantile import quantile_cont
 from ..operators.split import stratified_split
 from ..sources.tables import customers_text, read_table
 from ..session import materialize
-from .activity import mean_of
+from .activity import mean_of, money
 from .features import feature_table
 from .labels import churn_label, eligible_activity
 
@@ -135,7 +135,7 @@ def scored_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> Data
     lab = churn_label(spark, sf_dir, w, act=act_all).select("account_id", F.col("churned").alias("y"))
     act = act_all.select(
         "account_id", mean_of("obs_amt_sum", "obs_amt_n").alias("m"),
-        F.col("obs_bal_last").cast("double").alias("l"))
+        money("obs_bal_last").alias("l"))
     p = floor_score(F.try_divide(F.col("m"), F.col("m") + F.col("l")))
     sc = lab.join(act, "account_id").select("account_id", "y", p.alias("p")).where(F.col("p").isNotNull())
     # every metric makes several passes over the scores: compute them once

@@ -11,7 +11,7 @@ from ..operators.membership import bridge_keys, existence_flag, key_audit, semi_
 from ..sources.tables import (MONEY, accounts, cards, dispositions, districts, loans, read_table,
                               standing_orders_src, transactions)
 from ..session import materialize
-from .activity import account_activity, mean_of
+from .activity import account_activity, mean_of, money
 from .labels import churn_label, eligible_activity
 
 STD_DECIMALS = 6
@@ -23,8 +23,8 @@ def _tx_feature_cols():
         mean_of("obs_amt_sum", "obs_amt_n").alias("tx_amount_mean"),
         F.round(F.col("obs_amt_std"), STD_DECIMALS).alias("tx_amount_std"),
         mean_of("obs_bal_sum", "obs_bal_n").alias("balance_mean"),
-        F.col("obs_bal_min").cast("double").alias("balance_min"),
-        F.col("obs_bal_last").cast("double").alias("balance_last"),
+        money("obs_bal_min").alias("balance_min"),
+        money("obs_bal_last").alias("balance_last"),
     ]
 
 
@@ -38,7 +38,7 @@ def balance_last(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> Data
     """A3: balance of the latest (d, trans_id) row up to obs_end, nulls skipped."""
     act = account_activity(transactions(spark, sf_dir), w)
     return (act.where(F.col("obs_bal_n") > 0)
-               .select("account_id", F.col("obs_bal_last").cast("double").alias("balance_last")))
+               .select("account_id", money("obs_bal_last").alias("balance_last")))
 
 
 def tenure_days(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:

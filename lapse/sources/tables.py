@@ -60,8 +60,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Stand-in relations
 # ---------------------------------------------------------------------------
 
+def cents(c: Column) -> Column:
+    """Money as exact integer cents (LONG): sums stay exact and on Spark's fast
+    long path instead of wide-DECIMAL arithmetic."""
+    return F.round(c * F.lit(100)).cast("long")
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """trans -> orders: (trans_id, account_id, d, amount, balance)."""
+    """trans -> orders: (trans_id, account_id, d, amount, balance) with money as
+    DECIMAL(18,2) plus the same values as integer cents (Catalyst keeps only
+    the columns a consumer reads)."""
     o = read_table(spark, sf_dir, "orders")
     amt = F.col("o_totalprice").cast(MONEY)
     return o.select(
@@ -70,6 +78,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("d"),
         amt.alias("amount"),
         amt.alias("balance"),
+        cents(F.col("o_totalprice")).alias("amount_cents"),
+        cents(F.col("o_totalprice")).alias("balance_cents"),
     )
 
 

@@ -11,13 +11,15 @@ from lapse.plans.activity import account_activity
 from lapse.plans.labels import eligible_from, label_from
 
 W = Windows()
-TX_SCHEMA = "trans_id long, account_id long, d date, amount decimal(18,2), balance decimal(18,2)"
+TX_SCHEMA = ("trans_id long, account_id long, d date, amount decimal(18,2), balance decimal(18,2), "
+             "amount_cents long, balance_cents long")
 D = dt.date
 
 
 def tx(spark, rows):
     return spark.createDataFrame(
-        [(i, a, d, Decimal(str(amt)), None if bal is None else Decimal(str(bal)))
+        [(i, a, d, Decimal(str(amt)), None if bal is None else Decimal(str(bal)),
+          int(round(amt * 100)), None if bal is None else int(round(bal * 100)))
          for i, (a, d, amt, bal) in enumerate(rows)], TX_SCHEMA)
 
 
@@ -74,8 +76,8 @@ def test_tx_edges(spark):
     ]
     a = {r.account_id: r for r in account_activity(tx(spark, rows), W).collect()}
     assert a[1].obs_amt_std is None and a[1].tx_count == 1
-    assert a[2].obs_bal_last == Decimal("7.00")
-    assert a[3].obs_bal_last == Decimal("9.00") and a[3].obs_bal_min == Decimal("9.00")
+    assert a[2].obs_bal_last == 700                            # cents
+    assert a[3].obs_bal_last == 900 and a[3].obs_bal_min == 900
 
 
 def test_bridge_edges(spark):
