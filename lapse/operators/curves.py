@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import SINGLE_TASK_ROWS
+from .. import config
 from .quantile import largest_group
 
 CURVE_BUCKETS = 64
@@ -40,7 +40,7 @@ def score_curve(df: DataFrame, score: str, label: str, group_cols: Sequence[str]
     d = (src.where(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
             .groupBy(*g, F.col(score).cast("double").alias("s"))
             .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    limit = config.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     if largest_group(d, g) <= limit:
         wr = Window.partitionBy(*g).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         wg = Window.partitionBy(*g)

@@ -34,7 +34,8 @@ def bridge_keys(facts: DataFrame, bridge: DataFrame, fact_key: str, bridge_key:
     (card.disp_id -> disp.disp_id -> disp.account_id).  A semi join keeps one
     bridge row per match however many facts hit it; ``distinct`` dedups targets.
     """
-    hits = facts.select(F.col(fact_key).alias(bridge_key))
+    # distinct first: a bridge key hit by a third of all facts reaches the join as one row
+    hits = facts.select(F.col(fact_key).alias(bridge_key)).distinct()
     return bridge.join(hits, bridge_key, "left_semi").select(target_key).distinct()
 
 

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import SINGLE_TASK_ROWS
+from .. import config
 
 DEFAULT_BUCKETS = 1 << 12
 
@@ -62,7 +62,7 @@ def quantiles(df: DataFrame, value_col: str, qs: Sequence[float], group_cols: Se
     src = df if group_cols else df.withColumn("_g", F.lit(0))
     x = (src.select(*g, F.col(value_col).cast("double").alias("x"))
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    limit = config.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     if largest_group(x, g) <= limit:
         out = _sorted_quantiles(x, g, qs, alias)
         return out if group_cols else out.drop("_g")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import SINGLE_TASK_ROWS
+from .. import config
 from .quantile import largest_group
 
 PREFIX_HEX = 3
@@ -32,7 +32,7 @@ def class_rank(df: DataFrame, key: str, label: str, salt, single_task_rows: int
     Classes that fit one task (measured) are ranked by one window per class;
     larger ones by the two-level rank below.
     """
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    limit = config.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     if largest_group(df, [label]) <= limit:
         w1 = Window.partitionBy(label).orderBy("_h", key)
         return (df.withColumn("_h", salted_hash(key, salt))

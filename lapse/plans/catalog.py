@@ -39,6 +39,7 @@ def queries() -> dict[str, Query]:
         "join_key_audit": features.join_key_audit,
         "dimension_enrich": features.dimension_enrich,
         "feature_table": features.feature_table,
+        "product_flag_rates": features.product_flag_rates,
         # sources, cleaning, audits
         "scan_reject_nonnumeric": cleaning.scan_reject_nonnumeric,
         "json_record_parse": cleaning.json_record_parse,

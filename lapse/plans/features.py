@@ -59,8 +59,18 @@ def semi_members_query(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -
     """Transactions of eligible accounts only, count and sum per account."""
     tx = transactions(spark, sf_dir)
     members = eligible_activity(spark, sf_dir, w).select("account_id")
-    return (semi_members(tx, members, "account_id").groupBy("account_id")
-              .agg(F.count("trans_id").alias("n_tx"), F.sum("amount").cast("double").alias("amount_sum")))
+    # aggregate before the semi join: a hot account is one row when it is joined
+    per_account = tx.groupBy("account_id").agg(F.count("trans_id").alias("n_tx"),
+                                                (F.sum("amount_cents").cast("double") / 100.0).alias("amount_sum"))
+    return semi_members(per_account, members, "account_id")
+
+
+def product_flag_rates(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
+    """Cohort share of each product flag over the labelled accounts."""
+    ft = feature_table(spark, sf_dir, w)
+    return ft.agg(F.count(F.lit(1)).alias("n_accounts"),
+                  F.sum("has_loan").cast("long").alias("n_loan"), F.avg("has_loan").alias("loan_rate"),
+                  F.sum("has_card").cast("long").alias("n_card"), F.avg("has_card").alias("card_rate"))
 
 
 def standing_orders_agg(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,6 +87,9 @@ split3 AS (SELECT * FROM split WHERE fold = 'test' UNION ALL SELECT * FROM split
     long_att = "\n  UNION ALL ".join(
         f"SELECT '{c}' AS feature, CAST({v} AS DOUBLE) AS wt, CAST({c} AS DOUBLE) AS x FROM ft" for c, v in ATTRIBUTION)
     return {
+        "product_flag_rates": ft + """
+SELECT count(*) AS n_accounts, CAST(sum(has_loan) AS BIGINT) AS n_loan, avg(has_loan) AS loan_rate,
+       CAST(sum(has_card) AS BIGINT) AS n_card, avg(has_card) AS card_rate FROM ft""",
         "scan_reject_nonnumeric": """
 SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, CAST(n_regionkey AS INTEGER) AS n_regionkey FROM nation""",
         "json_record_parse": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
