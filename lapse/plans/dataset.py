@@ -26,6 +26,8 @@ def split_frame(df: DataFrame, key: str = "account_id", label: str = "churned",
     out = stratified_split(df, key, label, TEST_PERCENT, seed, "test", "train")
     if not three_way:
         return out
+    # both branches read the first split: compute it (and its inputs) once
+    out = materialize(out)
     test = out.where(F.col("fold") == "test")
     rest = stratified_split(out.where(F.col("fold") == "train").drop("fold"), key, label,
                             VALIDATION_PERCENT, seed + 1, "validation", "train")

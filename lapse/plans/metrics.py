@@ -181,9 +181,11 @@ def calibration_bins_of(sc: DataFrame, n_bins: int = CALIBRATION_BINS, p: str =
                         digits: int = METRIC_DIGITS) -> DataFrame:
     """V8: quantile bins; bin = number of inner edges strictly below p."""
     edges = quantile_array(sc, p, [i / n_bins for i in range(1, n_bins)])
-    # one scalar subquery (reused), compared edge by edge: no higher-order function
-    bin_ = sum((F.coalesce((edges[i] < F.col(p)).cast("int"), F.lit(0)) for i in range(n_bins - 1)), F.lit(0))
-    b = sc.withColumn("bin", bin_)
+    # the edges are ONE scalar subquery projected as a column; the higher-order
+    # function then reads the column (a subquery may not sit inside the lambda)
+    b = (sc.withColumn("_edges", edges)
+           .withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col(p))))
+           .drop("_edges"))
     return (b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"),
                                  F.round(F.avg(F.col(p).cast("double")), digits).alias("mean_p"),
                                  F.round(F.avg(F.col(y).cast("double")), digits).alias("frac_pos")))
