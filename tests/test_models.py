@@ -68,3 +68,21 @@ def test_permutation_keeps_values(spark):
 def test_model_queries_rows(spark, name):
     df = E.queries()[name](spark, "/root/testdata/sf0.001")
     assert df.count() >= 1
+
+
+def test_stream_rejects_incomplete_records(spark, trainer):
+    import os
+    import uuid
+
+    from lapse.session import checkpoint_dir
+    from lapse.streaming.scoring import start_scoring
+    r = trainer.fit_gbt()
+    base = os.path.join(checkpoint_dir(spark), "stream-rej", uuid.uuid4().hex[:8])
+    recs = trainer.test.select("account_id", *r.features).limit(5)
+    broken = recs.withColumn(r.features[0], F.when(F.col("account_id") % 2 == 0, F.lit(None)).otherwise(F.col(r.features[0])))
+    broken.write.json(base + "/landing")
+    q = start_scoring(spark, r.model, r.features, base + "/landing", base + "/sink", base + "/ckpt")
+    q.awaitTermination()
+    got = {x.account_id for x in spark.read.parquet(base + "/sink").collect()}
+    expect = {x.account_id for x in broken.where(F.col(r.features[0]).isNotNull()).collect()}
+    assert got == expect

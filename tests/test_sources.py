@@ -70,3 +70,24 @@ def test_runs_table(spark):
     assert runs.count() == 6
     best = runs.where("metric = 'test_roc_auc'").agg(F.max_by("run_name", "value")).first()[0]
     assert best == "a"
+
+
+def test_rewrite_partitioned_prunes_years(spark):
+    from lapse.sources.delimited import TRANS_SCHEMA, rewrite_partitioned
+    text = ('"trans_id";"account_id";"date";"type";"operation";"amount";"balance"\n'
+            '1;10;"961231";"PRIJEM";"VKLAD";100.00;100.00\n'
+            '2;10;"970105";"VYDAJ";"VYBER";-20.50;79.50\n'
+            '3;11;"980301";"PRIJEM";"VKLAD";5.25;5.25\n')
+    src = with_parsed_dates(read_delimited(spark, _write(text), TRANS_SCHEMA))
+    out = tempfile.mkdtemp(prefix="lapse-part-") + "/trans"
+    rewrite_partitioned(src, out)
+    back = spark.read.parquet(out).where(F.col("year") == 1997)
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        back.explain()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(year" in plan and "= 1997" in plan
+    assert [r.trans_id for r in back.collect()] == [2]
+    assert str(back.first().balance) == "79.50"
