@@ -49,7 +49,7 @@ PARAMS = ModelParams()
 
 def training_frame(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """Design matrix + fold (train / validation / test), checkpointed."""
-    dm = design_matrix(spark, sf_dir, w)
+    dm = materialize(design_matrix(spark, sf_dir, w))
     folds = split_frame(dm.select("account_id", LABEL), three_way=True).select("account_id", "fold")
     return materialize(dm.join(folds, "account_id"))
 

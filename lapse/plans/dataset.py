@@ -62,7 +62,8 @@ def class_weight(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> Data
 def design_matrix(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS,
                   ft: DataFrame | None = None, levels: list[str] | None = None) -> DataFrame:
     """M1: features as DOUBLE, NULL -> 0, frequency one-hot (all levels)."""
-    ft = ft if ft is not None else feature_table(spark, sf_dir, w)
+    # the levels and the matrix both read the feature table: compute it once
+    ft = ft if ft is not None else materialize(feature_table(spark, sf_dir, w))
     levels = levels if levels is not None else levels_of(ft, "frequency")
     feats = [c for c in ft.columns if c not in NON_FEATURES]
     num = [F.coalesce(coerce_numeric(F.col(c).cast("string")) if dict(ft.dtypes)[c] == "string"
