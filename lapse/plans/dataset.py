@@ -15,7 +15,7 @@ from ..sources.tables import customers_text, read_table
 from ..session import materialize
 from .activity import mean_of, money
 from .features import feature_table
-from .labels import churn_label, eligible_activity
+from .labels import churn_label, eligible_activity, labelled_activity
 
 NON_FEATURES = ("account_id", "churned", "district_name", "region", "frequency", "fold")
 
@@ -134,12 +134,11 @@ def align_features(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS,
 
 def scored_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """(account_id, y, p): y = churn label; p = floor-gridded mean/(mean+last)."""
-    act_all = materialize(eligible_activity(spark, sf_dir, w))
-    lab = churn_label(spark, sf_dir, w, act=act_all).select("account_id", F.col("churned").alias("y"))
-    act = act_all.select(
-        "account_id", mean_of("obs_amt_sum", "obs_amt_n").alias("m"),
-        money("obs_bal_last").alias("l"))
-    p = floor_score(F.try_divide(F.col("m"), F.col("m") + F.col("l")))
-    sc = lab.join(act, "account_id").select("account_id", "y", p.alias("p")).where(F.col("p").isNotNull())
+    act = materialize(eligible_activity(spark, sf_dir, w), "activity")
+    # label and score columns come from the same activity rows: no join
+    lab = labelled_activity(act, w)
+    m, last = mean_of("obs_amt_sum", "obs_amt_n"), money("obs_bal_last")
+    p = floor_score(F.try_divide(m, m + last))
+    sc = lab.select("account_id", F.col("churned").alias("y"), p.alias("p")).where(F.col("p").isNotNull())
     # every metric makes several passes over the scores: compute them once
-    return materialize(sc)
+    return materialize(sc, "scores")

@@ -12,7 +12,7 @@ from ..sources.tables import (MONEY, accounts, cards, dispositions, districts, l
                               standing_orders_src, transactions)
 from ..session import materialize
 from .activity import account_activity, mean_of, money
-from .labels import churn_label, eligible_activity
+from .labels import churn_label, eligible_activity, labelled_activity
 
 STD_DECIMALS = 6
 
@@ -146,13 +146,15 @@ def feature_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, as_of:
     """
     # one activity aggregate feeds both the label and the tx features
     act = materialize(eligible_activity(spark, sf_dir, w))
-    lab = label if label is not None else churn_label(spark, sf_dir, w, act=act)
-    spine = lab.select("account_id", "churned")
     t = tenure_expr("open_date", w.obs_end_lit)
-    txf = act.select("account_id", t.alias("tenure_days"), *_tx_feature_cols())
+    if label is None:
+        # label columns computed on the activity rows themselves: no spine/tx join
+        base = labelled_activity(act, w)
+    else:
+        base = label.select("account_id", "churned").join(act, "account_id", "left")
+    txf = base.select("account_id", "churned", t.alias("tenure_days"), *_tx_feature_cols())
     txf = txf.withColumn("tx_count_per_year", annual_rate("tx_count", "tenure_days"))
-    feat = (spine.join(accounts(spark, sf_dir), "account_id", "left")
-                 .join(txf, "account_id", "left"))
+    feat = txf.join(accounts(spark, sf_dir), "account_id", "left")
     feat = _flags(feat, spark, sf_dir, as_of)
     feat = (feat.join(standing_orders_agg(spark, sf_dir), "account_id", "left")
                 .join(F.broadcast(districts(spark, sf_dir)), "district_id", "left"))

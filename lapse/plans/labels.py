@@ -52,6 +52,19 @@ def churn_label(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, exact: b
     return label_from(act, w, exact)
 
 
+def labelled_activity(act: DataFrame, w: Windows = WINDOWS, exact: bool = True) -> DataFrame:
+    """Activity rows of valid accounts with the label columns added in place
+    (no join back to the activity: the threshold is a scalar subquery).
+    ``act`` should be materialized: the quantile passes read it too."""
+    obs = mean_of("base_bal_sum", "base_bal_n")
+    lab = mean_of("label_bal_sum", "label_bal_n")
+    valid = (act.withColumn("avg_balance_obs", obs).withColumn("avg_balance_label", lab)
+                .where(F.col("avg_balance_obs") > 0)
+                .withColumn("balance_ratio", F.try_divide(F.col("avg_balance_label"), F.col("avg_balance_obs"))))
+    thr = ratio_threshold_of(valid, w, exact).scalar()
+    return valid.withColumn("churned", flag_le("balance_ratio", thr))
+
+
 def label_from(act: DataFrame, w: Windows = WINDOWS, exact: bool = True) -> DataFrame:
     """L5 on an eligible activity frame."""
     valid = materialize(_ratio_frame(act))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,18 +60,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
-
-    Used where one intermediate feeds several passes of the same query (the
-    label ratios, the activity table, the scored table): it is computed once,
-    and later stages re-read it instead of re-running its lineage.  The
-    output partitioning is kept, so joins on the same key do not re-shuffle.
-    """
+    """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-materialize = cut_lineage
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and
+    read it back (lineage cut, survives executor loss).
+
+    Used where one intermediate feeds several passes of the same query (the
+    activity table, the valid ratios, the scored table).  Unlike an RDD
+    checkpoint the table is columnar: later passes read only the columns
+    they use, with filters pushed into the scan.
+    """
+    spark = df.sparkSession
+    path = scratch_table(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:
