@@ -117,9 +117,9 @@ def label_balance_drop(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -
 
 
 def label_rule_rates(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    """Positive rate per rule, one row per rule (one pass for the four
-    count/mean rules; the quantile rule reuses the same activity exchange)."""
-    act = eligible_activity(spark, sf_dir, w)
+    """Positive rate per rule, one row per rule.  One activity aggregate,
+    materialized, feeds all five rules (the quantile rule in place)."""
+    act = materialize(eligible_activity(spark, sf_dir, w), "activity")
     avg = F.col("tx_count").cast("double") / F.lit(float(w.history_years))
     obs = mean_of("base_bal_sum", "base_bal_n")
     lab = mean_of("label_bal_sum", "label_bal_n")
@@ -130,7 +130,7 @@ def label_rule_rates(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) ->
         flag_lt(lab, F.lit(0.3) * obs).alias("balance_drop"))
     rules = ["inactive", "count_drop", "count_drop_lastyear", "balance_drop"]
     long = flags.unpivot([], rules, "rule", "churned")
-    final = churn_label(spark, sf_dir, w).select(F.lit("balance_ratio_decile").alias("rule"), "churned")
+    final = labelled_activity(act, w).select(F.lit("balance_ratio_decile").alias("rule"), "churned")
     return (long.unionByName(final).groupBy("rule")
                 .agg(F.count(F.lit(1)).alias("n"), F.sum("churned").alias("positives"))
                 .withColumn("rate", F.col("positives") / F.col("n")))
