@@ -23,7 +23,6 @@ from ..config import LEAKAGE_TOLERANCE, SEED, WINDOWS, Windows
 from ..functions.columns import risk_tier, round_prob
 from ..operators.curves import ap_from_curve, auc_from_curve, score_curve
 from ..plans.dataset import design_matrix, feature_columns, split_frame
-from ..plans.metrics import brier_of
 from ..session import checkpoint_dir, materialize
 
 LABEL = "churned"

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from ..config import WINDOWS, Windows
 from ..functions.columns import annual_rate, tenure_days as tenure_expr
 from ..operators.membership import bridge_keys, existence_flag, key_audit, semi_members
-from ..sources.tables import (MONEY, accounts, cards, dispositions, districts, loans, read_table,
-                              standing_orders_src, transactions)
+from ..sources.tables import (accounts, cards, dispositions, districts, loans, standing_orders_src,
+                              transactions)
 from ..session import materialize
 from .activity import account_activity, mean_of, money
-from .labels import churn_label, eligible_activity, labelled_activity
+from .labels import eligible_activity, labelled_activity
 
 STD_DECIMALS = 6
 

@@ -49,7 +49,7 @@ def _thresholds(ts) -> str:
 
 
 def eval_sql(w: Windows = WINDOWS) -> dict[str, str]:
-    from .oracle_more import _feature_ctes, feature_table_sql
+    from .oracle_more import feature_table_sql
     lab = with_(*LABEL_CHAIN, w=w)
     split = ",\n" + _split_cte("label", "account_id", "churned", "split", SEED, TEST_PERCENT, "test", "train")
     split3 = split + ",\n" + _split_cte("split", "account_id", "churned", "split_b", SEED + 1,

@@ -3,8 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from lapse.config import Windows
 from lapse.operators.membership import bridge_keys, existence_flag, key_audit
 from lapse.plans.activity import account_activity

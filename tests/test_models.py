@@ -14,7 +14,7 @@ def trainer(spark):
 
 
 def test_planted_signal_beats_baseline(spark):
-    from lapse.models.train import LABEL, gbt, with_weights
+    from lapse.models.train import gbt, with_weights
     rows = [(i, float(i % 100), float((i * 7) % 13), int(i % 100 > 80)) for i in range(2000)]
     df = spark.createDataFrame(rows, "account_id long, x double, z double, churned int")
     df = with_weights(df, df).withColumn("is_validation", F.col("account_id") % 5 == 0)
