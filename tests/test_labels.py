@@ -91,3 +91,22 @@ def test_bridge_edges(spark):
     audit = key_audit(disp, card, "disp_id", "disp_id", "account_id", "account_id").first()
     # wrong path compares account ids with disp ids: account 1 collides with card.disp_id = 1
     assert (audit.n_right_path, audit.n_wrong_path, audit.n_overlap) == (1, 1, 1)
+
+
+def test_hot_account_third_of_rows(spark):
+    """One account holds a third of all transactions: aggregates stay exact
+    (partial aggregation pools it map-side) and the label is unchanged."""
+    rows = []
+    for a in range(1, 31):
+        rows += [(a, D(1997, 1, 1), 1, 1), (a, D(1998, 6, 1), 100, 100), (a, D(1999, 6, 1), 3 * a, 3 * a)]
+    hot = [(1, D(1998, 3, 1) + dt.timedelta(days=i % 200), 100, 100) for i in range(len(rows) // 2)]
+    df = tx(spark, rows + hot).repartition(7)
+    act = {r.account_id: r for r in account_activity(df, W).collect()}
+    assert act[1].base_bal_n == 1 + len(hot)
+    assert act[1].base_bal_sum == 100 * 100 * (1 + len(hot))
+    lab = {r.account_id: r.churned for r in label_from(eligible_from(account_activity(df, W), spine(spark, range(1, 31)), W), W).collect()}
+    # ratios 0.03 .. 0.90 (the hot rows do not move account 1's base mean); brute-force threshold:
+    ratios = sorted(3 * a / 100 for a in range(1, 31))
+    pos = 0.1 * (len(ratios) - 1)
+    thr = ratios[int(pos)] + (ratios[int(pos) + 1] - ratios[int(pos)]) * (pos - int(pos))
+    assert {a for a, c in lab.items() if c} == {a for a in range(1, 31) if 3 * a / 100 <= thr}
