@@ -132,13 +132,16 @@ def align_features(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS,
     return ft.select("account_id", *cols)
 
 
-def scored_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    """(account_id, y, p): y = churn label; p = floor-gridded mean/(mean+last)."""
+def scored_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, reused: bool = True) -> DataFrame:
+    """(account_id, y, p): y = churn label; p = floor-gridded mean/(mean+last).
+
+    ``reused``: the consumer reads the scores several times (curves, quantile
+    bins, splits), so they are materialized once; single-pass consumers skip it.
+    """
     act = materialize(eligible_activity(spark, sf_dir, w), "activity")
     # label and score columns come from the same activity rows: no join
     lab = labelled_activity(act, w)
     m, last = mean_of("obs_amt_sum", "obs_amt_n"), money("obs_bal_last")
     p = floor_score(F.try_divide(m, m + last))
     sc = lab.select("account_id", F.col("churned").alias("y"), p.alias("p")).where(F.col("p").isNotNull())
-    # every metric makes several passes over the scores: compute them once
-    return materialize(sc, "scores")
+    return materialize(sc, "scores") if reused else sc

@@ -21,8 +21,8 @@ CALIBRATION_BINS = 10
 METRIC_DIGITS = 10
 
 
-def _sc(spark, sf_dir, w):
-    return scored_table(spark, sf_dir, w)
+def _sc(spark, sf_dir, w, reused: bool = True):
+    return scored_table(spark, sf_dir, w, reused)
 
 
 # --- tiers -----------------------------------------------------------------
@@ -33,12 +33,12 @@ def tiers(sc: DataFrame, p: str = "p") -> DataFrame:
 
 def risk_tiers(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """F-C1 + F-M6: tier on the unrounded p, output p rounded half-even."""
-    return tiers(_sc(spark, sf_dir, w)).select("account_id", "y", "p", "p_rounded", "risk_tier")
+    return tiers(_sc(spark, sf_dir, w, reused=False)).select("account_id", "y", "p", "p_rounded", "risk_tier")
 
 
 def tier_summary(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """Per tier n, positives, actual rate."""
-    t = tiers(_sc(spark, sf_dir, w))
+    t = tiers(_sc(spark, sf_dir, w, reused=False))
     return (t.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("positives"))
              .withColumn("rate", F.col("positives") / F.col("n")))
 
@@ -62,7 +62,7 @@ def sweep(sc: DataFrame, thresholds: Sequence[float] = SWEEP_THRESHOLDS, p: str
 
 
 def threshold_sweep(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    return sweep(_sc(spark, sf_dir, w))
+    return sweep(_sc(spark, sf_dir, w, reused=False))
 
 
 def confusion(sc: DataFrame, thresholds: Sequence[float] = CONFUSION_THRESHOLDS, p: str = "p",
@@ -82,7 +82,7 @@ def confusion(sc: DataFrame, thresholds: Sequence[float] = CONFUSION_THRESHOLDS,
 
 
 def confusion_matrix(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    return confusion(_sc(spark, sf_dir, w))
+    return confusion(_sc(spark, sf_dir, w, reused=False))
 
 
 def report(sc: DataFrame, threshold: float = 0.5, p: str = "p", y: str = "y",
@@ -122,7 +122,7 @@ def report(sc: DataFrame, threshold: float = 0.5, p: str = "p", y: str = "y",
 
 
 def classification_report(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    return report(_sc(spark, sf_dir, w))
+    return report(_sc(spark, sf_dir, w, reused=False))
 
 
 # --- ranking metrics -------------------------------------------------------------
@@ -174,7 +174,7 @@ def brier_of(sc: DataFrame, p: str = "p", y: str = "y", digits: int = METRIC_DIG
 
 def brier(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """V9: mean squared error of the probability."""
-    return brier_of(_sc(spark, sf_dir, w))
+    return brier_of(_sc(spark, sf_dir, w, reused=False))
 
 
 def calibration_bins_of(sc: DataFrame, n_bins: int = CALIBRATION_BINS, p: str = "p", y: str = "y",
@@ -199,7 +199,7 @@ def calibration_bins(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) ->
 
 def topk_accounts(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, k: int = 10) -> DataFrame:
     """The k highest probabilities, key as tie-break (per-partition top-k, merged)."""
-    return _sc(spark, sf_dir, w).orderBy(F.desc("p"), F.asc("account_id")).limit(k)
+    return _sc(spark, sf_dir, w, reused=False).orderBy(F.desc("p"), F.asc("account_id")).limit(k)
 
 
 def baseline_majority(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
