@@ -243,21 +243,35 @@ def feature_importance(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -
 
 
 PERMUTE_BUCKETS = 64
+PERMUTE_ROWS_PER_BUCKET = 1_000_000
 
 
-def permuted(df: DataFrame, col: str, salt: str, buckets: int = PERMUTE_BUCKETS) -> DataFrame:
-    """``col`` moved by one position along a salted-hash order inside hash buckets:
-    a derangement that breaks the column's link to the label, computed with
-    partitioned windows (no global sort, no driver)."""
+def permute_buckets(n_rows: int) -> int:
+    """Buckets of about a million rows: parallel windows at scale, and no
+    one-row buckets (which could not be permuted) on small folds."""
+    return max(1, -(-n_rows // PERMUTE_ROWS_PER_BUCKET))
+
+
+def partners(df: DataFrame, salt: str, key: str = "account_id", buckets: int = PERMUTE_BUCKETS) -> DataFrame:
+    """(key, _partner): each row's successor along a salted-hash order inside
+    hash buckets, the last one wrapping to the first -- a derangement (a
+    permutation without fixed points in buckets of 2+ rows), built with
+    partitioned windows: no global sort, nothing through the driver."""
     from pyspark.sql import Window
-    h = F.xxhash64(F.col("account_id"), F.lit(salt))
-    b = F.pmod(F.xxhash64(F.col("account_id"), F.lit(salt + "#b")), F.lit(buckets))
-    x = df.withColumn("_b", b).withColumn("_h", h)
-    wo = Window.partitionBy("_b").orderBy("_h", "account_id")
-    wa = Window.partitionBy("_b").orderBy("_h", "account_id").rowsBetween(Window.unboundedPreceding,
-                                                                          Window.unboundedFollowing)
-    nxt = F.coalesce(F.lead(F.col(col)).over(wo), F.first(F.col(col)).over(wa))
-    return x.withColumn(col, nxt).drop("_b", "_h")
+    h = F.xxhash64(F.col(key), F.lit(salt))
+    b = F.pmod(F.xxhash64(F.col(key), F.lit(salt + "#b")), F.lit(buckets))
+    x = df.select(key).withColumn("_b", b).withColumn("_h", h)
+    wo = Window.partitionBy("_b").orderBy("_h", key)
+    wa = wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nxt = F.coalesce(F.lead(F.col(key)).over(wo), F.first(F.col(key)).over(wa))
+    return x.select(key, nxt.alias("_partner"))
+
+
+def permuted(df: DataFrame, col: str, salt: str, buckets: int = PERMUTE_BUCKETS) -> DataFrame:
+    """``df`` with ``col`` taken from each row's partner (one column permuted)."""
+    donor = df.select(F.col("account_id").alias("_partner"), F.col(col).alias("_donor"))
+    return (df.join(partners(df, salt, buckets=buckets), "account_id").join(donor, "_partner")
+              .withColumn(col, F.col("_donor")).drop("_partner", "_donor"))
 
 
 def permutation_importance(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
@@ -267,11 +281,16 @@ def permutation_importance(spark: SparkSession, sf_dir: str, w: Windows = WINDOW
     AUCs computed in one grouped curve pass."""
     t = Trainer(spark, sf_dir, w)
     r = t.fit_gbt()
-    base = t.test.select("account_id", LABEL, *r.features)
-    copies = None
-    for i, c in enumerate(r.features):
-        part = permuted(base, c, f"perm{i}").withColumn("feature", F.lit(c))
-        copies = part if copies is None else copies.unionByName(part)
+    feats = r.features
+    base = t.test.select("account_id", LABEL, *feats)
+    # one derangement window + one key-unique join fetch every partner value;
+    # the per-feature copies are then a narrow explode (no shuffle per feature)
+    donor = base.select(F.col("account_id").alias("_partner"), *[F.col(c).alias(f"_d{i}") for i, c in enumerate(feats)])
+    nb = permute_buckets(base.count())
+    paired = base.join(partners(base, "perm", buckets=nb), "account_id").join(donor, "_partner")
+    copies = paired.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in feats]))).select(
+        "account_id", LABEL, "feature",
+        *[F.when(F.col("feature") == c, F.col(f"_d{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(feats)])
     scored = positive_probability(r.model, copies)
     auc = auc_from_curve(score_curve(scored, "score", LABEL, ["feature"]), ["feature"])
     base_auc = auc_from_curve(score_curve(r.test_scores, "score", LABEL)).scalar()
