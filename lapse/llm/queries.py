@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapse.llm import decontamination, secrets, sharding, urlfilter
+from lapse.llm import decontamination, packing, secrets, sharding, simhash, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": sharding.op1_sharding,
         "op2_decontamination": decontamination.op2_decontamination,
+        "op5_simhash": simhash.op5_simhash,
+        "op8_packing": packing.op8_packing,
         "op9_url_filters": urlfilter.op9_url_filters,
         "op10_secret_scan": secrets.op10_secret_scan,
     }
@@ -21,5 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": decontamination.OP2_SQL,
+        "op5_simhash": simhash.op5_simhash,
+        "op8_packing": packing.op8_packing,
         "op9_url_filters": urlfilter.OP9_SQL,
     }
