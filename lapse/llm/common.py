@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,9 +19,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application.
+
+    Functions that run in Python workers are found by module name there.
+    """
+    sc = spark.sparkContext
+    name = f"lapse-{sc.applicationId}.zip"
+    if any(str(f).endswith(name) for f in sc.listFiles):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="lapse-ship-"), name)      # the driver serves this copy
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+
+
 def ascii_lower(c: Column) -> Column:
-    """A-Z to a-z and nothing else (``lower`` would also change other letters)."""
-    return F.translate(c, UPPER, LOWER)
+    """A-Z to a-z and nothing else (``lower`` would also change other letters; ASCII texts have none)."""
+    return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
 def number_within(df: DataFrame, group: list[str], out: str, buckets: int) -> DataFrame:

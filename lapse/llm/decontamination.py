@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 from lapse.llm.common import ascii_lower, read_table
 from lapse.session import materialize
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"      # what stands between words; the test side has the same rule
 WINDOW = 10
 RAREST = 2
 BROADCAST_BYTES = 16 << 20
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP), lambda w: w != "")
 
 
 def _small(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -58,19 +58,24 @@ def with_key(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return docs.withColumn("dkey", F.xxhash64(F.col(key), F.col(text)))
 
 
-def build_index(docs: DataFrame, terms: DataFrame | None = None, text: str = "text") -> DataFrame:
-    """Stored postings (term, dkey, pos) of documents that carry ``dkey``."""
-    postings = docs.select("dkey", F.posexplode(words(F.col(text))).alias("pos", "term"))
-    if terms is not None:
-        postings = postings.join(_small(terms, ["term"]), "term")
-    return materialize(postings.select("term", "dkey", "pos"), "postings")
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """The numbered terms (term, term_id) of the test texts; the empty term stands for a document's end."""
+    terms = texts.select(F.explode("words").alias("term")).union(texts.sparkSession.sql("SELECT '' AS term"))
+    return materialize(terms.distinct().withColumn("term_id", F.monotonically_increasing_id()), "vocabulary")
 
 
-def test_windows(texts: DataFrame, index: DataFrame, size: int = WINDOW) -> DataFrame:
+def build_index(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """Stored postings (term_id, dkey, pos) of documents that carry ``dkey``; the empty term's position is the length."""
+    ended = F.concat(words(F.col(text)), F.array(F.lit("")))
+    postings = docs.select("dkey", F.posexplode(ended).alias("pos", "term")).join(_small(terms, ["term"]), "term")
+    return materialize(postings.select("term_id", "dkey", "pos"), "postings")
+
+
+def test_windows(texts: DataFrame, terms: DataFrame, index: DataFrame, size: int = WINDOW) -> DataFrame:
     """Windows (tid, at, n) with their rarest positions ``rare``; those with an unseen term can't occur and go."""
-    found = index.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    terms = texts.select("tid", F.size("words").alias("total"), F.posexplode("words").alias("off", "term"))
-    counted = terms.join(found, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    found = index.groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
+    split = texts.select("tid", F.size("words").alias("total"), F.posexplode("words").alias("off", "term"))
+    counted = split.join(terms, "term").join(found, "term_id", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     first = F.greatest(F.lit(0), F.col("off") - (size - 1))
     last = F.least(F.col("off"), F.greatest(F.lit(0), F.col("total") - size))
     covered = counted.withColumn("at", F.explode(F.sequence(first, last)))
@@ -78,40 +83,47 @@ def test_windows(texts: DataFrame, index: DataFrame, size: int = WINDOW) -> Data
     ranked = covered.withColumn("r", F.row_number().over(rank))
     return (ranked.groupBy("tid", "at")
             .agg(F.count(F.lit(1)).cast("int").alias("n"), F.min("df").alias("least"),
-                 F.sort_array(F.collect_list(F.when(F.col("r") <= RAREST, F.struct("off", "term")))).alias("rare"))
+                 F.sort_array(F.collect_list(F.when(F.col("r") <= RAREST, F.struct("off", "term_id")))).alias("rare"))
             .where("least > 0").drop("least"))
 
 
 def candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """(dkey, tid, at, start): places where the shifted lists of a window's rarest terms meet."""
-    rare = windows.select("tid", F.explode("rare").alias("x")).select("tid", "x.off", "x.term").distinct()
-    shifted = (index.join(_small(rare, ["tid", "off", "term"]), "term")
+    """(dkey, tid, at, n, start): places where the shifted lists of a window's rarest terms meet.
+
+    The offsets that meet at a shift are kept as bits; in test texts of over 64
+    words bits are shared, which only adds candidates.
+    """
+    bit = lambda off: F.call_function("shiftleft", F.lit(1).cast("long"), off)
+    rare = windows.select("tid", F.explode("rare").alias("x")).select("tid", "x.off", "x.term_id").distinct()
+    shifted = (index.join(_small(rare, ["tid", "off", "term_id"]), "term_id")
                .select("dkey", "tid", (F.col("pos") - F.col("off")).alias("shift"), "off"))
-    need = windows.groupBy("tid").agg(F.min(F.size("rare")).alias("fewest"))
-    # a shift with a single rare term is worth keeping only for windows of one word
-    met = (shifted.groupBy("dkey", "tid", "shift").agg(F.min("off").alias("lo"), F.max("off").alias("hi"))
-           .join(_small(need, ["tid", "fewest"]), "tid")
-           .where("lo < hi OR fewest = 1").select("dkey", "tid", "shift"))
-    met = materialize(met, "met")
-    have = (shifted.join(met, ["dkey", "tid", "shift"], "left_semi")
-            .groupBy("dkey", "tid", "shift").agg(F.collect_set("off").alias("have")))
-    return (have.join(windows, "tid")
-            .where(F.size(F.array_except(F.transform("rare", lambda r: r["off"]), F.col("have"))) == 0)
+    met = shifted.groupBy("dkey", "tid", "shift").agg(F.bit_or(bit(F.col("off"))).alias("have"))
+    needs = windows.select("tid", "at", "n", F.aggregate(
+        "rare", F.lit(0).cast("long"), lambda s, r: s.bitwiseOR(bit(r["off"]))).alias("need"))
+    # a shift with one rare term is of use only to texts with a window of one
+    fewest = needs.groupBy("tid").agg(F.min(F.bit_count("need")).alias("fewest"))
+    return (met.join(_small(fewest, ["tid", "fewest"]), "tid").where("bit_count(have) >= fewest")
+            .join(needs, "tid").where(F.col("have").bitwiseAND(F.col("need")) == F.col("need"))
             .select("dkey", "tid", "at", "n", (F.col("shift") + F.col("at")).alias("start"))
             .where("start >= 0"))
 
 
 def phrase_matches(docs: DataFrame, texts: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` (with dkey and text) with ``words`` and ``hits``: (tid, at, start, n) of every exact window."""
-    index = build_index(docs, texts.select(F.explode("words").alias("term")).distinct())
-    windows = materialize(test_windows(texts, index, size), "windows")
+    """``docs`` (with dkey and text) with ``n_words`` and ``hits``: (tid, at, start, n) of every exact window."""
+    terms = vocabulary(texts)
+    index = build_index(docs, terms)
+    windows = materialize(test_windows(texts, terms, index, size), "windows")
     found = candidates(index, windows).join(texts.withColumnRenamed("words", "twords"), "tid")
     per_doc = found.groupBy("dkey").agg(F.collect_list(F.struct(
         "tid", "at", "start", "n", F.expr("slice(twords, at + 1, n)").alias("phrase"))).alias("cands"))
-    whole = docs.join(per_doc, "dkey", "left").withColumn("words", words(F.col("text")))
+    split = F.when(F.col("cands").isNotNull(), words(F.col("text")))
+    checked = docs.join(per_doc, "dkey", "left").withColumn("words", split)
     exact = F.filter("cands", lambda c: F.slice(F.col("words"), c["start"] + 1, c["n"]) == c["phrase"])
-    return whole.withColumn("hits", F.coalesce(F.transform(exact, lambda c: c.dropFields("phrase")), F.expr(
-        "CAST(array() AS array<struct<tid:bigint,at:int,start:int,n:int>>)"))).drop("cands")
+    checked = checked.withColumn("hits", F.coalesce(F.transform(exact, lambda c: c.dropFields("phrase")), F.expr(
+        "CAST(array() AS array<struct<tid:bigint,at:int,start:int,n:int>>)"))).drop("cands", "words")
+    lengths = (index.join(F.broadcast(terms.where("term = ''")), "term_id")
+               .groupBy("dkey").agg(F.max("pos").cast("long").alias("n_words")))
+    return checked.join(lengths, "dkey")
 
 
 def proximity_matches(docs: DataFrame, texts: DataFrame, slack: int, size: int = WINDOW) -> DataFrame:
@@ -120,14 +132,15 @@ def proximity_matches(docs: DataFrame, texts: DataFrame, slack: int, size: int =
 
     Shifts are cut into cells of ``slack + 1``; a partner is in the same cell or a neighbour.
     """
-    index = build_index(docs, texts.select(F.explode("words").alias("term")).distinct())
-    windows = materialize(test_windows(texts, index, size), "windows")
+    terms = vocabulary(texts)
+    index = build_index(docs, terms)
+    windows = materialize(test_windows(texts, terms, index, size), "windows")
     pair = windows.where(F.size("rare") == 2).select(
         "tid", "at", F.col("rare")[0].alias("a"), F.col("rare")[1].alias("b"))
 
     def lists(which: str) -> DataFrame:
-        side = pair.select("tid", "at", f"{which}.off", f"{which}.term")
-        return index.join(_small(side, ["tid", "at", "off", "term"]), "term").select(
+        side = pair.select("tid", "at", f"{which}.off", f"{which}.term_id")
+        return index.join(_small(side, ["tid", "at", "off", "term_id"]), "term_id").select(
             "dkey", "tid", "at", (F.col("pos") - F.col("off")).alias(f"shift_{which}"))
 
     cell = lambda c: F.floor(F.col(c) / F.lit(slack + 1))
@@ -141,13 +154,21 @@ def proximity_matches(docs: DataFrame, texts: DataFrame, slack: int, size: int =
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """(dkey, doc_id, n_words, n_hit, tids) of every row of ``docs`` (doc_id, text), and the item map."""
     texts, _ = test_texts(items)
-    found = phrase_matches(with_key(docs.select("doc_id", "text")), texts, size)
+    found = phrase_matches(with_key(docs.select("doc_id", "text")), texts, size).drop("text")
     covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["n"] - 1))))
     return found.select(
-        "dkey", "doc_id", F.size("words").cast("long").alias("n_words"), F.size(covered).cast("long").alias("n_hit"),
+        "dkey", "doc_id", "n_words", F.size(covered).cast("long").alias("n_hit"),
         F.array_distinct(F.transform("hits", lambda h: h["tid"])).alias("tids")), texts
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in which no window of a test text occurs, unchanged."""
+    others = [c for c in docs.columns if c != "text"]
+    keyed = with_key(docs).select("dkey", "text", F.struct(*others).alias("row"))
+    clean = phrase_matches(keyed, test_texts(items)[0], size).where("size(hits) = 0")
+    return clean.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and matching benchmark items of every document."""
     docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
