@@ -6,24 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapse.llm import decontamination, packing, secrets, sharding, simhash, urlfilter
+import corpus_pipeline
+from lapse.llm import (decontamination, packing, quality, secrets, sharding, simhash, substring, toxicity, urlfilter,
+                       warc)
+from lapse.llm.common import ship_package
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def queries() -> dict[str, Query]:
+    found = {
         "op1_sharding": sharding.op1_sharding,
         "op2_decontamination": decontamination.op2_decontamination,
+        "op3_substring_dedup": substring.op3_substring_dedup,
+        "op4_warc": warc.op4_warc,
         "op5_simhash": simhash.op5_simhash,
+        "op6_toxicity": toxicity.op6_toxicity,
+        "op7_quality_rules": quality.op7_quality_rules,
         "op8_packing": packing.op8_packing,
         "op9_url_filters": urlfilter.op9_url_filters,
         "op10_secret_scan": secrets.op10_secret_scan,
+        "pipeline": corpus_pipeline.run,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": decontamination.OP2_SQL,
+        "op3_substring_dedup": substring.op3_substring_dedup,
+        "op4_warc": warc.op4_warc,
         "op5_simhash": simhash.op5_simhash,
+        "op6_toxicity": toxicity.op6_toxicity,
+        "op7_quality_rules": quality.op7_quality_rules,
         "op8_packing": packing.op8_packing,
+        "op4_warc": warc.OP4_SQL,
         "op9_url_filters": urlfilter.OP9_SQL,
     }

@@ -137,7 +137,6 @@ def scan(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
 
 def redact(docs: DataFrame, model: list[float], text: str = "text", size: str = "n_chars") -> DataFrame:
     """``docs`` with every span replaced by a placeholder; rows without spans stay as they are."""
-    columns = docs.columns
     body = F.col(text)
 
     def step(state: Column, s: Column) -> Column:
@@ -150,10 +149,12 @@ def redact(docs: DataFrame, model: list[float], text: str = "text", size: str =
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     clean = F.aggregate("spans", zero, step, lambda s: F.concat(
         s["out"], F.substring(body, s["at"] + 1, F.length(body))))
-    out = scan(docs, model, text).withColumn("_clean", F.when(F.size("spans") > 0, clean).otherwise(body))
-    if size in columns:
-        out = out.withColumn(size, F.when(F.size("spans") > 0, F.length("_clean")).otherwise(F.col(size)).cast(docs.schema[size].dataType))
-    return out.withColumn(text, F.col("_clean")).select(*columns)
+    out = scan(docs.select(F.struct(*docs.columns).alias("row"), text), model, text)
+    out = out.withColumn("clean", F.when(F.size("spans") > 0, clean).otherwise(body))
+    changed = {text: F.col("clean")}
+    if size in docs.columns:
+        changed[size] = F.when(F.size("spans") > 0, F.length("clean")).otherwise(F.col("row")[size]).cast(docs.schema[size].dataType)
+    return out.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def _joined(spans: Column) -> Column:

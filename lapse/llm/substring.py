@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapse.llm.common import read_table
+from lapse.llm.hashing import mix, phrase_hash, word_hashes
 from lapse.session import materialize
 
 WINDOW = 13
@@ -45,24 +46,6 @@ CHUNK_WORDS = 1 << 19
 NO_ID = np.iinfo(np.int64).max
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scramble of unsigned 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-def phrase_hash(words: np.ndarray, n: int, salt: int) -> np.ndarray:
-    """Hash of every ``n`` consecutive word hashes."""
-    size = len(words) - n + 1
-    out = np.zeros(max(0, size), np.uint64)
-    if size > 0:
-        odd = mix(np.arange(n, dtype=np.uint64) + np.uint64(1000 * salt + 1)) | np.uint64(1)
-        for j in range(n):
-            out += words[j:j + size] * odd[j]
-    return mix(out)
-
-
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     span = 1
     while span < n:
@@ -80,7 +63,7 @@ class Chunk:
         sizes = np.fromiter(map(len, self.words), np.int64, len(texts))
         self.first = np.concatenate(([0], np.cumsum(sizes)))
         total = int(self.first[-1])
-        self.hash = np.fromiter((h for w in self.words for h in map(xxhash.xxh64_intdigest, w)), np.uint64, total)
+        self.hash = np.concatenate([np.zeros(0, np.uint64), *map(word_hashes, self.words)])
         doc = np.repeat(np.arange(len(texts)), sizes)
         size = max(0, total - window + 1)
         self.starts = np.flatnonzero(doc[:size] == doc[window - 1:]) if size else np.zeros(0, np.int64)

@@ -116,7 +116,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, winning rule and verdict of every page."""
-    rules = spark.createDataFrame(RULES, "host string, path string, action string")
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, RULES))} AS t(host, path, action)")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
