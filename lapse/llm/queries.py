@@ -40,14 +40,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
+    """Of the others SQL has neither the hashes, the models, the components nor the packing; op3 is too slow in it."""
     return {
         "op2_decontamination": decontamination.OP2_SQL,
-        "op3_substring_dedup": substring.op3_substring_dedup,
-        "op4_warc": warc.op4_warc,
-        "op5_simhash": simhash.op5_simhash,
-        "op6_toxicity": toxicity.op6_toxicity,
-        "op7_quality_rules": quality.op7_quality_rules,
-        "op8_packing": packing.op8_packing,
         "op4_warc": warc.OP4_SQL,
         "op9_url_filters": urlfilter.OP9_SQL,
     }
