@@ -8,7 +8,7 @@ operator takes its columns and dates from here.  Defaults follow SURVEY §7.1.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -42,12 +42,7 @@ class Windows:
         return self.base_start.isoformat()
 
 
-# Largest group an operator may hand to ONE task (a sort, a sorted array, an
-# un-partitioned window).  Measured per query before the plan is chosen; above
-# it the multi-level distributed path runs.  Same role as a broadcast size check.
-SINGLE_TASK_ROWS = 2_000_000
-
-# Fixed values of the reference's scoring contract (risk tiers, rounding).
+# Fixed values of the scoring contract (risk tiers, rounding).
 TIER_HIGH = 0.20
 TIER_MEDIUM = 0.10
 PROB_DECIMALS = 4
@@ -68,7 +63,6 @@ class StandIn:
     standing_status: str = "O"              # order  -> open orders
     sentinel_every: int = 7                 # '?' text in every 7th key
     incomplete_every: int = 11              # one missing field in every 11th key
-    segments: tuple = field(default=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))
 
 
 WINDOWS = Windows()

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..config import PROB_DECIMALS, TIER_HIGH, TIER_MEDIUM
 
+# Scores of the stand-in that some keys get: both cuts, just under them, two rounding ties.
+EDGE_SCORES = (TIER_HIGH, TIER_MEDIUM, 0.199999999999, 0.099999999999, 0.59375, 0.00015)
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -56,11 +59,6 @@ def _sql(name: str) -> str:
     return f"`{name}`"
 
 
-def decimal_mean(c) -> Column:
-    """Mean of a DECIMAL column summed exactly, divided once as DOUBLE."""
-    return F.try_divide(F.sum(_c(c)).cast("double"), F.count(_c(c)).cast("double"))
-
-
 def annual_rate(count, days) -> Column:
     return F.try_divide(_c(count).cast("double"), _c(days).cast("double") / F.lit(365.25))
 
@@ -74,10 +72,6 @@ def flag_lt(x, threshold) -> Column:
     return F.coalesce((_c(x) < _c(threshold)).cast("int"), F.lit(0))
 
 
-def nullif_sentinel(c, sentinel: str = "?") -> Column:
-    return F.nullif(_c(c), F.lit(sentinel))
-
-
 # --- scoring ---------------------------------------------------------------
 
 def risk_tier(p, high: float = TIER_HIGH, medium: float = TIER_MEDIUM) -> Column:
@@ -127,9 +121,21 @@ def round_prob(p, decimals: int = PROB_DECIMALS) -> Column:
     return py_round(p, decimals)
 
 
-def floor_score(x, scale: int = 10000) -> Column:
-    """Score with a fixed grid (floor, not round: engines round ties differently)."""
-    return F.floor(_c(x) * F.lit(scale)) / F.lit(float(scale))
+def spread_score(ratio, key) -> Column:
+    """Stand-in score over 0-1 at full precision from a ratio over 0.2; some keys get a
+    missing score, the tier cuts themselves, the values just under them, or rounding ties
+    (multiplications only: every engine gives the same double)."""
+    x = (_c(ratio) - F.lit(0.2)) / F.lit(0.8)
+    fixed = F.lit(None).cast("double")
+    score = F.when(_c(key) % 101 == 0, fixed)
+    for k, v in enumerate(EDGE_SCORES, 1):
+        score = score.when(_c(key) % 101 == k, F.lit(v))
+    return score.otherwise(x * x * x)
+
+
+def is_score(p) -> Column:
+    """True for a number; NULL and NaN take no part in any metric."""
+    return _c(p).isNotNull() & ~F.isnan(_c(p))
 
 
 # --- client birth number ---------------------------------------------------

@@ -7,20 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 1000
-
-
-def levels_of(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list[str]:
+def levels_of(df: DataFrame, col: str) -> list[str]:
     """Sorted distinct levels of a categorical column (what StringIndexer fits).
 
-    The result is bounded: more than ``max_levels`` levels is an error, not a
-    silent collect of a key column.
+    Each level becomes a column of the result's schema, so they come to the driver.
     """
-    rows = (df.select(col).where(F.col(col).isNotNull()).distinct()
-              .orderBy(col).limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{col}: more than {max_levels} levels; not a categorical column")
-    return [r[0] for r in rows]
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().collect()
+    return sorted(r[0] for r in rows)
 
 
 def one_hot_cols(col: str, levels: Sequence[str], prefix: str | None = None,

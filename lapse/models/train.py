@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LEAKAGE_TOLERANCE, SEED, WINDOWS, Windows
-from ..functions.columns import risk_tier, round_prob
+from ..functions.columns import is_score, risk_tier, round_prob
 from ..operators.curves import ap_from_curve, auc_from_curve, score_curve
+from ..operators.prefix import running_totals
 from ..plans.dataset import design_matrix, feature_columns, split_frame
 from ..session import checkpoint_dir, materialize
 
@@ -104,7 +105,7 @@ def evaluate(scored: DataFrame, score: str = "score", group_cols=()) -> DataFram
     auc = auc_from_curve(curve, group_cols)
     ap = ap_from_curve(curve, group_cols)
     g = list(group_cols)
-    sq = F.pow(F.col(score) - F.col(LABEL).cast("double"), 2)
+    sq = F.when(is_score(score), F.pow(F.col(score) - F.col(LABEL).cast("double"), 2))
     br = scored.groupBy(*g).agg(F.round(F.avg(sq), 10).alias("brier"))
     if g:
         return auc.join(ap, g, "left").join(br, g, "left")
@@ -242,35 +243,23 @@ def feature_importance(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -
     return df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("importance"), "feature")).cast("long"))
 
 
-PERMUTE_BUCKETS = 64
-PERMUTE_ROWS_PER_BUCKET = 1_000_000
+def partners(df: DataFrame, salt: str, key: str = "account_id") -> DataFrame:
+    """(key, _partner): each row's successor in salted-hash order, the last one
+    wrapping to the first -- a permutation without fixed points (in 2+ rows) that
+    depends on the keys and the salt alone.  Rows are numbered by running totals
+    over range partitions: no single-task sort, nothing through the driver."""
+    x = df.select(key, F.struct(F.xxhash64(F.col(key), F.lit(salt)).alias("h"), F.col(key).alias("k")).alias("_at"),
+                  F.lit(1).cast("long").alias("c"))
+    numbered = materialize(running_totals(x, [], "_at", ["c"]).select(key, "c_run", "c_all"), "permutation")
+    succ = numbered.select(F.col(key).alias("_partner"), F.col("c_run").alias("_to"))
+    return (numbered.withColumn("_to", F.pmod(F.col("c_run"), F.col("c_all")) + 1)
+                    .join(succ, "_to").select(key, "_partner"))
 
 
-def permute_buckets(n_rows: int) -> int:
-    """Buckets of about a million rows: parallel windows at scale, and no
-    one-row buckets (which could not be permuted) on small folds."""
-    return max(1, -(-n_rows // PERMUTE_ROWS_PER_BUCKET))
-
-
-def partners(df: DataFrame, salt: str, key: str = "account_id", buckets: int = PERMUTE_BUCKETS) -> DataFrame:
-    """(key, _partner): each row's successor along a salted-hash order inside
-    hash buckets, the last one wrapping to the first -- a derangement (a
-    permutation without fixed points in buckets of 2+ rows), built with
-    partitioned windows: no global sort, nothing through the driver."""
-    from pyspark.sql import Window
-    h = F.xxhash64(F.col(key), F.lit(salt))
-    b = F.pmod(F.xxhash64(F.col(key), F.lit(salt + "#b")), F.lit(buckets))
-    x = df.select(key).withColumn("_b", b).withColumn("_h", h)
-    wo = Window.partitionBy("_b").orderBy("_h", key)
-    wa = wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    nxt = F.coalesce(F.lead(F.col(key)).over(wo), F.first(F.col(key)).over(wa))
-    return x.select(key, nxt.alias("_partner"))
-
-
-def permuted(df: DataFrame, col: str, salt: str, buckets: int = PERMUTE_BUCKETS) -> DataFrame:
+def permuted(df: DataFrame, col: str, salt: str) -> DataFrame:
     """``df`` with ``col`` taken from each row's partner (one column permuted)."""
     donor = df.select(F.col("account_id").alias("_partner"), F.col(col).alias("_donor"))
-    return (df.join(partners(df, salt, buckets=buckets), "account_id").join(donor, "_partner")
+    return (df.join(partners(df, salt), "account_id").join(donor, "_partner")
               .withColumn(col, F.col("_donor")).drop("_partner", "_donor"))
 
 
@@ -286,8 +275,7 @@ def permutation_importance(spark: SparkSession, sf_dir: str, w: Windows = WINDOW
     # one derangement window + one key-unique join fetch every partner value;
     # the per-feature copies are then a narrow explode (no shuffle per feature)
     donor = base.select(F.col("account_id").alias("_partner"), *[F.col(c).alias(f"_d{i}") for i, c in enumerate(feats)])
-    nb = permute_buckets(base.count())
-    paired = base.join(partners(base, "perm", buckets=nb), "account_id").join(donor, "_partner")
+    paired = base.join(partners(base, "perm"), "account_id").join(donor, "_partner")
     copies = paired.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in feats]))).select(
         "account_id", LABEL, "feature",
         *[F.when(F.col("feature") == c, F.col(f"_d{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(feats)])

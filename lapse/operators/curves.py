@@ -1,80 +1,44 @@
 """Ranking metrics from (score, label) without a global sort of raw rows.
 
 ``score_curve`` reduces the rows to distinct scores per group (map-side
-combined), then builds cumulative positive / negative counts in descending
-score order with a two-level prefix sum:
+combined) and adds cumulative positive / negative counts in descending score
+order by running totals over range partitions (``operators.prefix``).  Ties are
+pooled before ranking, so a score held by a third of all rows is a single row
+here.  AUC, average precision, ROC and PR points are all exact.
 
-  1. bucket edges = approximate quantiles of the distinct scores (B-1 edges,
-     a fixed bound) -> every distinct score falls in one of B buckets;
-  2. bucket totals (<= B rows per group) -> cumulative offsets;
-  3. a window partitioned by (group, bucket) adds the in-bucket running sum.
-
-Ties are pooled before ranking, so a score held by a third of all rows is a
-single row here.  AUC, average precision, ROC and PR points are all exact.
+Rows without a score or label (NULL or NaN) take no part in any metric.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import config
-from .quantile import largest_group
-
-CURVE_BUCKETS = 64
+from .prefix import running_totals
 
 
-def score_curve(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = (),
-                buckets: int = CURVE_BUCKETS, single_task_rows: int | None = None) -> DataFrame:
-    """Rows (groups, score, pos, neg, tp, fp, P, N): tp/fp count rows with
-    score >= this score; P/N are group totals.
-
-    When every group has few distinct scores (measured), one window per group
-    does the running sums; otherwise the two-level prefix sum below runs.
-    """
-    g = list(group_cols) or ["_g"]
-    src = df if group_cols else df.withColumn("_g", F.lit(0))
+def score_curve(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows (groups, s, pos, neg, tp, fp, P, N): tp/fp count rows with
+    score >= this score; P/N are group totals."""
+    g = list(group_cols)
     y = F.col(label).cast("long")
-    d = (src.where(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
-            .groupBy(*g, F.col(score).cast("double").alias("s"))
-            .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
-    limit = config.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if largest_group(d, g) <= limit:
-        wr = Window.partitionBy(*g).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        wg = Window.partitionBy(*g)
-        out = (d.withColumn("tp", F.sum("pos").over(wr)).withColumn("fp", F.sum("neg").over(wr))
-                .withColumn("P", F.sum("pos").over(wg)).withColumn("N", F.sum("neg").over(wg))
-                .select(*g, "s", "pos", "neg", "tp", "fp", "P", "N"))
-        return out if group_cols else out.drop("_g")
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    edges = d.groupBy(*g).agg(F.percentile_approx("s", probs, 10000).alias("_edges"))
-    # descending order: bucket 0 holds the highest scores
-    db = (d.join(F.broadcast(edges), g)
-           .withColumn("bk", F.size(F.filter("_edges", lambda e: e > F.col("s"))))
-           .drop("_edges"))
-    tot = db.groupBy(*g, "bk").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
-    wb = Window.partitionBy(*g).orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
-    wg = Window.partitionBy(*g)
-    off = (tot.withColumn("opos", F.coalesce(F.sum("bpos").over(wb), F.lit(0)))
-              .withColumn("oneg", F.coalesce(F.sum("bneg").over(wb), F.lit(0)))
-              .withColumn("P", F.sum("bpos").over(wg))
-              .withColumn("N", F.sum("bneg").over(wg))
-              .select(*g, "bk", "opos", "oneg", "P", "N"))
-    wi = (Window.partitionBy(*g, "bk").orderBy(F.desc("s"))
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (db.join(F.broadcast(off), g + ["bk"])
-             .withColumn("tp", F.col("opos") + F.sum("pos").over(wi))
-             .withColumn("fp", F.col("oneg") + F.sum("neg").over(wi))
-             .select(*g, "s", "pos", "neg", "tp", "fp", "P", "N"))
-    return out if group_cols else out.drop("_g")
+    d = (df.where(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
+           .groupBy(*g, F.col(score).cast("double").alias("s"))
+           .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
+    run = running_totals(d, g, "s", ["pos", "neg"], descending=True)
+    return run.select(*g, "s", "pos", "neg", F.col("pos_run").alias("tp"), F.col("neg_run").alias("fp"),
+                      F.col("pos_all").alias("P"), F.col("neg_all").alias("N"))
 
 
 def auc_from_curve(curve: DataFrame, group_cols: Sequence[str] = (), alias: str = "roc_auc") -> DataFrame:
-    """Mann-Whitney AUC with ties counted 1/2, from integer sums (exact)."""
+    """Mann-Whitney AUC with ties counted 1/2, from integer sums (exact: a product of
+    two counts can pass the range of LONG, so it is DECIMAL)."""
     g = list(group_cols)
-    num = F.sum(F.col("neg") * (F.lit(2) * F.col("tp") - F.col("pos")))
+    wide = lambda c: F.col(c).cast("decimal(18,0)")
+    twice = (wide("tp") + wide("tp") - wide("pos")).cast("decimal(19,0)")
+    num = F.sum((wide("neg") * twice).cast("decimal(38,0)"))
     agg = curve.groupBy(*g).agg(num.alias("_num"), F.first("P").alias("_P"), F.first("N").alias("_N"))
     den = F.lit(2.0) * F.col("_P").cast("double") * F.col("_N").cast("double")
     return agg.select(*g, F.when((F.col("_P") > 0) & (F.col("_N") > 0),

@@ -2,18 +2,12 @@
 
 Spark's ``percentile`` keeps a value->count map and merges it in a single
 reducer per group, which does not survive billions of distinct values in one
-group.  ``quantiles`` instead selects the two order statistics each quantile
-needs by histogram refinement, with DataFrame operators only:
-
-  pass 0  n, min, max per group                          (one row per group)
-  pass 1  counts per value bucket, B buckets per group   (<= B rows per group)
-  pass 2  counts per sub-bucket inside each hit bucket   (<= B rows per target)
-  pass 3  counts per distinct value inside the hit sub-bucket, ranked
-
-Every pass is a distributed ``groupBy`` with map-side partial aggregation;
-the cumulative windows run over bucket histograms whose size is fixed by the
-parameter ``buckets`` (not by the data).  Many quantiles and many groups share
-the same passes.  The value equals ``percentile`` / DuckDB ``quantile_cont``:
+group.  ``quantiles`` pools the rows to distinct values (map-side combined, so a
+value that a third of the rows share is one row), numbers them with running
+totals over range partitions, and picks the two order statistics each quantile
+needs from the rows that cover them.  Many quantiles and groups share the pass;
+outliers and repeated values don't matter to the partitions.  The value equals
+``percentile`` / DuckDB ``quantile_cont``:
 lo + (hi - lo) * (pos - floor(pos)),  pos = q * (n - 1).
 """
 
@@ -21,127 +15,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import config
-
-DEFAULT_BUCKETS = 1 << 12
-
-
-def _bucket(x, lo, width, buckets):
-    raw = F.floor((x - lo) / width * F.lit(buckets))
-    return F.when(width > 0, F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1))).otherwise(F.lit(0))
-
-
-def _cum(df: DataFrame, part: list[str], order: str) -> DataFrame:
-    w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("hi", F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the largest group (one small aggregate, one number to the driver)."""
-    g = list(group_cols)
-    if not g:
-        return df.count()
-    r = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(r or 0)
+from .prefix import running_totals
 
 
 def quantiles(df: DataFrame, value_col: str, qs: Sequence[float], group_cols: Sequence[str] = (),
-              *, buckets: int = DEFAULT_BUCKETS, alias: str = "value",
-              single_task_rows: int | None = None) -> DataFrame:
-    """Rows ``(*group_cols, q, alias)`` for every non-empty group and every q.
-
-    The group sizes are measured first: groups that fit one task are sorted
-    there (``array_sort(collect_list)``, one pass); otherwise the histogram
-    refinement below runs.  The per-group frames joined back are one row per
-    group (or per target); callers keep the group count small.
-    """
-    g = list(group_cols) or ["_g"]
-    src = df if group_cols else df.withColumn("_g", F.lit(0))
-    x = (src.select(*g, F.col(value_col).cast("double").alias("x"))
-            .where(F.col("x").isNotNull() & ~F.isnan("x")))
-    limit = config.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if largest_group(x, g) <= limit:
-        out = _sorted_quantiles(x, g, qs, alias)
-        return out if group_cols else out.drop("_g")
-    stats = (x.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x_min"),
-                                F.max("x").alias("x_max"))
-              .withColumn("width", F.col("x_max") - F.col("x_min")))
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
-    targets = (stats.select(*g, "n", F.posexplode(qarr).alias("qi", "q"))
-                    .withColumn("pos", F.col("q") * (F.col("n") - 1).cast("double"))
-                    .select(*g, "qi", "q", "pos", F.explode(F.array(
-                        F.struct(F.lit(0).alias("t"), F.floor("pos").cast("long").alias("r")),
-                        F.struct(F.lit(1).alias("t"), F.ceil("pos").cast("long").alias("r")))).alias("tr"))
-                    .select(*g, "qi", "q", "pos", "tr.t", "tr.r"))
-    tk = ["qi", "t"]
-
-    xs = (x.join(F.broadcast(stats.select(*g, "x_min", "width")), g)
-           .withColumn("b1", _bucket(F.col("x"), F.col("x_min"), F.col("width"), buckets)))
-
-    # pass 1: histogram per group
-    h1 = _cum(xs.groupBy(*g, "b1").agg(F.count(F.lit(1)).alias("c")), g, "b1")
-    sel1 = (F.broadcast(targets.select(*g, *tk, "r")).alias("T")
-             .join(h1.alias("H"), [F.col(f"T.{c}") == F.col(f"H.{c}") for c in g]
-                   + [F.col("T.r") >= F.col("H.lo"), F.col("T.r") < F.col("H.hi")])
-             .select(*[F.col(f"T.{c}") for c in g], "T.qi", "T.t",
-                     (F.col("T.r") - F.col("H.lo")).alias("r1"), F.col("H.b1")))
-
-    # pass 2: the hit bucket split into B sub-buckets
-    sub_w = F.col("width") / F.lit(buckets)
-    sub_lo = F.col("x_min") + F.col("b1") * sub_w
-    x2 = (xs.join(F.broadcast(sel1), g + ["b1"])
-            .withColumn("b2", _bucket(F.col("x"), sub_lo, sub_w, buckets)))
-    h2 = _cum(x2.groupBy(*g, *tk, "r1", "b1", "b2").agg(F.count(F.lit(1)).alias("c")), g + tk, "b2")
-    sel2 = (h2.where((F.col("r1") >= F.col("lo")) & (F.col("r1") < F.col("hi")))
-              .select(*g, *tk, (F.col("r1") - F.col("lo")).alias("r2"), "b1", "b2"))
-
-    # pass 3: distinct values inside the hit sub-bucket
-    x3 = x2.join(F.broadcast(sel2), g + tk + ["b1", "b2"])
-    h3 = _cum(x3.groupBy(*g, *tk, "r2", "x").agg(F.count(F.lit(1)).alias("c")), g + tk, "x")
-    picked = (h3.where((F.col("r2") >= F.col("lo")) & (F.col("r2") < F.col("hi")))
-                .groupBy(*g, "qi").agg(F.max(F.when(F.col("t") == 0, F.col("x"))).alias("v_lo"),
-                                       F.max(F.when(F.col("t") == 1, F.col("x"))).alias("v_hi")))
-    pos = targets.where(F.col("t") == 0).select(*g, "qi", "q", "pos")
-    frac = F.col("pos") - F.floor("pos")
-    out = (pos.join(picked, g + ["qi"])
-              .select(*g, "q", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * frac).alias(alias)))
-    return out if group_cols else out.drop("_g")
-
-
-def _sorted_quantiles(x: DataFrame, g: list[str], qs: Sequence[float], alias: str) -> DataFrame:
-    """Small groups: one sorted array per group, two order statistics per q."""
-    arr = x.groupBy(*g).agg(F.array_sort(F.collect_list("x")).alias("a"), F.count(F.lit(1)).alias("n"))
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
-    t = (arr.select(*g, "a", "n", F.explode(qarr).alias("q"))
-            .withColumn("pos", F.col("q") * (F.col("n") - 1).cast("double")))
-    lo = F.element_at("a", (F.floor("pos") + 1).cast("int"))
-    hi = F.element_at("a", (F.ceil("pos") + 1).cast("int"))
-    frac = F.col("pos") - F.floor("pos")
-    return t.select(*g, "q", (lo + (hi - lo) * frac).alias(alias))
+              *, alias: str = "value") -> DataFrame:
+    """Rows ``(*group_cols, q, alias)`` for every non-empty group and every q."""
+    g = list(group_cols)
+    distinct = (df.select(*g, F.col(value_col).cast("double").alias("x"))
+                  .where(F.col("x").isNotNull() & ~F.isnan("x"))
+                  .groupBy(*g, "x").agg(F.count(F.lit(1)).alias("n")))
+    ranked = running_totals(distinct, g, "x", ["n"])
+    first, end = F.col("n_run") - F.col("n"), F.col("n_run")
+    wanted = []
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("n_all") - 1).cast("double")
+        for t, rank in ((0, F.floor(pos)), (1, F.ceil(pos))):
+            hit = (rank >= first) & (rank < end)
+            wanted.append(F.when(hit, F.struct(F.lit(i).alias("qi"), F.lit(t).alias("t"), (pos - F.floor(pos)).alias("frac"))))
+    hits = (ranked.select(*g, "x", F.explode(F.array_compact(F.array(*wanted))).alias("h"))
+                  .groupBy(*g, "h.qi")
+                  .agg(F.max(F.when(F.col("h.t") == 0, F.col("x"))).alias("v_lo"),
+                       F.max(F.when(F.col("h.t") == 1, F.col("x"))).alias("v_hi"), F.max("h.frac").alias("frac")))
+    q_of = F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("qi") + 1)
+    return hits.select(*g, q_of.alias("q"),
+                       (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias(alias))
 
 
 def quantile_cont(df: DataFrame, col: str, q: float, *, alias: str = "value",
-                  exact: bool = True, buckets: int = DEFAULT_BUCKETS,
-                  accuracy: int = 100000) -> DataFrame:
+                  exact: bool = True, accuracy: int = 100000) -> DataFrame:
     """One-row DataFrame ``[alias]`` (NULL when there is no value).
 
     ``exact=False`` uses the mergeable GK sketch (``percentile_approx``).
     """
-    x = (df.select(F.col(col).cast("double").alias("x"))
-           .where(F.col("x").isNotNull() & ~F.isnan("x")))
     if not exact:
+        x = (df.select(F.col(col).cast("double").alias("x"))
+               .where(F.col("x").isNotNull() & ~F.isnan("x")))
         return x.agg(F.percentile_approx("x", F.lit(q), accuracy).alias(alias))
-    v = quantiles(df, col, [q], buckets=buckets, alias=alias).select(alias)
+    v = quantiles(df, col, [q], alias=alias).select(alias)
     return df.sparkSession.range(1).select(v.scalar().alias(alias))
 
 
-def quantile_array(df: DataFrame, col: str, qs: Sequence[float], *, alias: str = "edges",
-                   buckets: int = DEFAULT_BUCKETS):
+def quantile_array(df: DataFrame, col: str, qs: Sequence[float], *, alias: str = "edges"):
     """Scalar-subquery Column: array of the quantiles in ascending q order."""
-    v = quantiles(df, col, qs, buckets=buckets)
+    v = quantiles(df, col, qs)
     arr = v.agg(F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))),
                             lambda s: s["value"]).alias(alias))
     return arr.scalar()

@@ -16,9 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import config
-from .quantile import largest_group
-
 PREFIX_HEX = 3
 
 
@@ -26,19 +23,8 @@ def salted_hash(key: str, salt) -> F.Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{salt}")))
 
 
-def class_rank(df: DataFrame, key: str, label: str, salt, single_task_rows: int | None = None) -> DataFrame:
-    """df + ``_rank`` (0-based rank in class by salted hash) + ``_n_class``.
-
-    Classes that fit one task (measured) are ranked by one window per class;
-    larger ones by the two-level rank below.
-    """
-    limit = config.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if largest_group(df, [label]) <= limit:
-        w1 = Window.partitionBy(label).orderBy("_h", key)
-        return (df.withColumn("_h", salted_hash(key, salt))
-                  .withColumn("_rank", F.row_number().over(w1) - 1)
-                  .withColumn("_n_class", F.count(F.lit(1)).over(Window.partitionBy(label)))
-                  .drop("_h"))
+def class_rank(df: DataFrame, key: str, label: str, salt) -> DataFrame:
+    """df + ``_rank`` (0-based rank in class by salted hash) + ``_n_class``."""
     h = df.withColumn("_h", salted_hash(key, salt)).withColumn(
         "_b", F.conv(F.substring("_h", 1, PREFIX_HEX), 16, 10).cast("int"))
     counts = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_c"))
@@ -48,10 +34,10 @@ def class_rank(df: DataFrame, key: str, label: str, salt, single_task_rows: int
                      .withColumn("_n_class", F.sum("_c").over(wt))
                      .select(label, "_b", "_off", "_n_class"))
     wr = Window.partitionBy(label, "_b").orderBy("_h", key)
-    # offsets has <= classes * 16^PREFIX_HEX rows: a fixed bound, broadcast
-    return (h.join(F.broadcast(offsets), [label, "_b"])
-             .withColumn("_rank", F.col("_off") + F.row_number().over(wr) - 1)
-             .drop("_h", "_b", "_off"))
+    # the window has the rows where the join wants them
+    return (h.withColumn("_in", F.row_number().over(wr)).join(offsets, [label, "_b"])
+             .withColumn("_rank", F.col("_off") + F.col("_in") - 1)
+             .drop("_h", "_b", "_off", "_in"))
 
 
 def holdout_size(n_class, pct: int):
@@ -61,16 +47,9 @@ def holdout_size(n_class, pct: int):
 
 
 def stratified_split(df: DataFrame, key: str, label: str, pct: int, salt,
-                     held_out: str = "test", rest: str = "train", fold_col: str = "fold",
-                     single_task_rows: int | None = None) -> DataFrame:
-    r = class_rank(df, key, label, salt, single_task_rows)
+                     held_out: str = "test", rest: str = "train", fold_col: str = "fold") -> DataFrame:
+    r = class_rank(df, key, label, salt)
     return (r.withColumn(fold_col, F.when(F.col("_rank") < holdout_size("_n_class", pct), F.lit(held_out))
                                    .otherwise(F.lit(rest)))
              .drop("_rank", "_n_class"))
 
-
-def hash_split(df: DataFrame, key: str, pct: int, salt, held_out: str = "test", rest: str = "train",
-               fold_col: str = "fold") -> DataFrame:
-    """Approximate-size split without any shuffle: hash fraction < pct%."""
-    frac = F.conv(F.substring(salted_hash(key, salt), 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
-    return df.withColumn(fold_col, F.when(frac < F.lit(pct / 100.0), F.lit(held_out)).otherwise(F.lit(rest)))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SEED, TEST_PERCENT, VALIDATION_PERCENT, WINDOWS, Windows
-from ..functions.columns import coerce_numeric, floor_score
+from ..functions.columns import coerce_numeric, spread_score
 from ..functions.encode import levels_of, one_hot_cols, standard_scale
 from ..operators.quantile import quantile_cont
 from ..operators.split import stratified_split
@@ -133,7 +133,7 @@ def align_features(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS,
 
 
 def scored_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, reused: bool = True) -> DataFrame:
-    """(account_id, y, p): y = churn label; p = floor-gridded mean/(mean+last).
+    """(account_id, y, p): y = churn label; p = spread of mean/(mean+last), NULL for some accounts.
 
     ``reused``: the consumer reads the scores several times (curves, quantile
     bins, splits), so they are materialized once; single-pass consumers skip it.
@@ -142,6 +142,6 @@ def scored_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, reused:
     # label and score columns come from the same activity rows: no join
     lab = labelled_activity(act, w)
     m, last = mean_of("obs_amt_sum", "obs_amt_n"), money("obs_bal_last")
-    p = floor_score(F.try_divide(m, m + last))
-    sc = lab.select("account_id", F.col("churned").alias("y"), p.alias("p")).where(F.col("p").isNotNull())
+    p = spread_score(F.try_divide(m, m + last), "account_id")
+    sc = lab.select("account_id", F.col("churned").alias("y"), p.alias("p"))
     return materialize(sc, "scores") if reused else sc

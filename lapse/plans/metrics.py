@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SWEEP_THRESHOLDS, WINDOWS, Windows
-from ..functions.columns import risk_tier, round_prob
+from ..functions.columns import is_score, risk_tier, round_prob
 from ..operators.curves import ap_from_curve, auc_from_curve, score_curve
 from ..operators.quantile import quantile_array
+from ..session import materialize
 from .dataset import scored_table, split_frame
 from .features import feature_table
 
@@ -46,19 +47,21 @@ def tier_summary(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> Data
 # --- threshold tables (conditional aggregation, no cross join) ----------------
 
 def sweep(sc: DataFrame, thresholds: Sequence[float] = SWEEP_THRESHOLDS, p: str = "p", y: str = "y") -> DataFrame:
-    """Per threshold flagged, positives among flagged, rate, captured share."""
-    aggs = [F.sum(F.col(y).cast("long")).alias("_P")]
+    """Per threshold flagged, positives among flagged, rate, captured share (of the
+    scored positives); rows without a score are counted apart."""
+    aggs = [F.sum(F.when(is_score(p), F.col(y).cast("long"))).alias("_P"), F.count_if(~is_score(p)).alias("_U")]
     for i, t in enumerate(thresholds):
-        hit = F.col(p) >= F.lit(t)
+        hit = is_score(p) & (F.col(p) >= F.lit(t))
         aggs += [F.count(F.when(hit, 1)).alias(f"f{i}"), F.sum(F.when(hit, F.col(y).cast("long"))).alias(f"t{i}")]
     wide = sc.agg(*aggs)
-    long = wide.select("_P", F.explode(F.array(*[
+    long = wide.select("_P", "_U", F.explode(F.array(*[
         F.struct(F.lit(t).alias("threshold"), F.col(f"f{i}").alias("flagged"),
                  F.coalesce(F.col(f"t{i}"), F.lit(0)).alias("positives"))
-        for i, t in enumerate(thresholds)])).alias("r")).select("_P", "r.*")
+        for i, t in enumerate(thresholds)])).alias("r")).select("_P", "_U", "r.*")
     return long.select("threshold", "flagged", "positives",
                        F.try_divide(F.col("positives").cast("double"), F.col("flagged").cast("double")).alias("rate"),
-                       F.try_divide(F.col("positives").cast("double"), F.col("_P").cast("double")).alias("captured"))
+                       F.try_divide(F.col("positives").cast("double"), F.col("_P").cast("double")).alias("captured"),
+                       F.col("_U").alias("unscored"))
 
 
 def threshold_sweep(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
@@ -67,17 +70,18 @@ def threshold_sweep(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> D
 
 def confusion(sc: DataFrame, thresholds: Sequence[float] = CONFUSION_THRESHOLDS, p: str = "p",
               y: str = "y") -> DataFrame:
-    """V4: the full 2x2 grid (zero cells included) per threshold, long form."""
+    """V4: the full grid (zero cells included) per threshold, long form; rows without a
+    score have a NULL prediction."""
     aggs = []
     cells = []
     for i, t in enumerate(thresholds):
-        pred = (F.col(p) >= F.lit(t)).cast("int")
+        pred = F.when(is_score(p), (F.col(p) >= F.lit(t)).cast("int"))
         for a in (0, 1):
-            for b in (0, 1):
+            for b in (0, 1, None):
                 name = f"c{i}_{a}{b}"
-                aggs.append(F.count(F.when((F.col(y) == a) & (pred == b), 1)).alias(name))
+                aggs.append(F.count(F.when((F.col(y) == a) & pred.eqNullSafe(F.lit(b)), 1)).alias(name))
                 cells.append(F.struct(F.lit(t).alias("threshold"), F.lit(a).alias("actual"),
-                                      F.lit(b).alias("predicted"), F.col(name).alias("n")))
+                                      F.lit(b).cast("int").alias("predicted"), F.col(name).alias("n")))
     return sc.agg(*aggs).select(F.explode(F.array(*cells)).alias("r")).select("r.*")
 
 
@@ -88,10 +92,10 @@ def confusion_matrix(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) ->
 def report(sc: DataFrame, threshold: float = 0.5, p: str = "p", y: str = "y",
            digits: int = METRIC_DIGITS) -> DataFrame:
     """V3 + V5: precision / recall / f1 / support per class, accuracy, macro and
-    weighted averages; zero division gives 0."""
-    pred = (F.col(p) >= F.lit(threshold)).cast("int")
+    weighted averages, and how many rows have no score; zero division gives 0."""
+    pred = F.when(is_score(p), (F.col(p) >= F.lit(threshold)).cast("int"))
     c = sc.agg(*[F.count(F.when((F.col(y) == a) & (pred == b), 1)).alias(f"c{a}{b}")
-                 for a in (0, 1) for b in (0, 1)])
+                 for a in (0, 1) for b in (0, 1)], F.count_if(~is_score(p)).alias("unscored"))
 
     def dv(a, b):
         return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
@@ -114,6 +118,7 @@ def report(sc: DataFrame, threshold: float = 0.5, p: str = "p", y: str = "y",
         ("macro avg", (F.col("p0") + F.col("p1")) / 2, (F.col("r0") + F.col("r1")) / 2,
          (F.col("f0") + F.col("f1")) / 2, F.col("n")),
         ("weighted avg", wavg("p0", "p1"), wavg("r0", "r1"), wavg("f0", "f1"), F.col("n")),
+        ("unscored", F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(None).cast("double"), F.col("unscored")),
     ]
     arr = F.array(*[F.struct(F.lit(k).alias("label"), F.round(a, digits).alias("precision"),
                              F.round(b, digits).alias("recall"), F.round(cc, digits).alias("f1"),
@@ -127,20 +132,27 @@ def classification_report(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS
 
 # --- ranking metrics -------------------------------------------------------------
 
+def unscored(sc: DataFrame, p: str = "p"):
+    """Scalar: rows that no ranking metric can place (NULL or NaN score)."""
+    return sc.agg(F.count_if(~is_score(p))).scalar()
+
+
 def roc_auc(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """V1: exact AUC (ties 1/2) from the distinct-score curve."""
-    return auc_from_curve(score_curve(_sc(spark, sf_dir, w), "p", "y"))
+    sc = _sc(spark, sf_dir, w)
+    return auc_from_curve(score_curve(sc, "p", "y")).withColumn("unscored", unscored(sc))
 
 
 def average_precision(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """V2: step-wise average precision (not MLlib's trapezoidal areaUnderPR)."""
-    return ap_from_curve(score_curve(_sc(spark, sf_dir, w), "p", "y"))
+    sc = _sc(spark, sf_dir, w)
+    return ap_from_curve(score_curve(sc, "p", "y")).withColumn("unscored", unscored(sc))
 
 
 def roc_points_of(curve: DataFrame, digits: int = METRIC_DIGITS) -> DataFrame:
     pts = curve.select(F.col("s").alias("threshold"),
-                       F.round(F.col("fp") / F.col("N"), digits).alias("fpr"),
-                       F.round(F.col("tp") / F.col("P"), digits).alias("tpr"))
+                       F.round(F.try_divide(F.col("fp"), F.col("N")), digits).alias("fpr"),
+                       F.round(F.try_divide(F.col("tp"), F.col("P")), digits).alias("tpr"))
     start = curve.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
                                                F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(start)
@@ -148,8 +160,8 @@ def roc_points_of(curve: DataFrame, digits: int = METRIC_DIGITS) -> DataFrame:
 
 def pr_points_of(curve: DataFrame, digits: int = METRIC_DIGITS) -> DataFrame:
     pts = curve.select(F.col("s").alias("threshold"),
-                       F.round(F.col("tp") / (F.col("tp") + F.col("fp")), digits).alias("precision"),
-                       F.round(F.col("tp") / F.col("P"), digits).alias("recall"))
+                       F.round(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), digits).alias("precision"),
+                       F.round(F.try_divide(F.col("tp"), F.col("P")), digits).alias("recall"))
     end = curve.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
                                              F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(end)
@@ -168,8 +180,8 @@ def pr_points(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFra
 # --- calibration -----------------------------------------------------------------
 
 def brier_of(sc: DataFrame, p: str = "p", y: str = "y", digits: int = METRIC_DIGITS) -> DataFrame:
-    sq = F.pow(F.col(p).cast("double") - F.col(y).cast("double"), 2)
-    return sc.agg(F.round(F.avg(sq), digits).alias("brier"))
+    sq = F.when(is_score(p), F.pow(F.col(p).cast("double") - F.col(y).cast("double"), 2))
+    return sc.agg(F.round(F.avg(sq), digits).alias("brier"), F.count_if(~is_score(p)).alias("unscored"))
 
 
 def brier(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
@@ -179,15 +191,15 @@ def brier(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
 
 def calibration_bins_of(sc: DataFrame, n_bins: int = CALIBRATION_BINS, p: str = "p", y: str = "y",
                         digits: int = METRIC_DIGITS) -> DataFrame:
-    """V8: quantile bins; bin = number of inner edges strictly below p."""
+    """V8: quantile bins; bin = number of inner edges strictly below p, NULL without a score."""
     edges = quantile_array(sc, p, [i / n_bins for i in range(1, n_bins)])
     # the edges are ONE scalar subquery projected as a column; the higher-order
     # function then reads the column (a subquery may not sit inside the lambda)
     b = (sc.withColumn("_edges", edges)
-           .withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col(p))))
+           .withColumn("bin", F.when(is_score(p), F.size(F.filter("_edges", lambda e: e < F.col(p)))))
            .drop("_edges"))
     return (b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"),
-                                 F.round(F.avg(F.col(p).cast("double")), digits).alias("mean_p"),
+                                 F.round(F.avg(F.when(is_score(p), F.col(p).cast("double"))), digits).alias("mean_p"),
                                  F.round(F.avg(F.col(y).cast("double")), digits).alias("frac_pos")))
 
 
@@ -199,7 +211,8 @@ def calibration_bins(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) ->
 
 def topk_accounts(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, k: int = 10) -> DataFrame:
     """The k highest probabilities, key as tie-break (per-partition top-k, merged)."""
-    return _sc(spark, sf_dir, w, reused=False).orderBy(F.desc("p"), F.asc("account_id")).limit(k)
+    sc = _sc(spark, sf_dir, w, reused=False).where(is_score("p"))
+    return sc.orderBy(F.desc("p"), F.asc("account_id")).limit(k)
 
 
 def baseline_majority(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
@@ -223,14 +236,12 @@ def linear_attribution(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS,
                        weights: dict | None = None, digits: int = 8) -> DataFrame:
     """M10 (re-aimed): mean |w * (x - mean(x))| per feature for a linear scorer."""
     weights = weights or ATTRIBUTION_WEIGHTS
-    ft = feature_table(spark, sf_dir, w)
     cols = list(weights)
-    long = ft.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(float(weights[c])).alias("wt"),
-                 F.col(c).cast("double").alias("x")) for c in cols])).alias("r")).select("r.*")
-    means = long.groupBy("feature").agg(F.avg("x").alias("mx"))
-    att = (long.join(F.broadcast(means), "feature")
-               .groupBy("feature").agg(F.round(F.avg(F.abs(F.col("wt") * (F.col("x") - F.col("mx")))), digits)
-                                       .alias("importance")))
-    rk = Window.orderBy(F.desc("importance"), F.asc("feature"))
+    # read twice (means, then deviations): one written frame of the weighted columns
+    ft = materialize(feature_table(spark, sf_dir, w).select(*[F.col(c).cast("double").alias(c) for c in cols]), "weighted")
+    means = ft.agg(F.struct(*[F.avg(c).alias(c) for c in cols])).scalar()
+    wide = ft.withColumn("_m", means).agg(*[
+        F.round(F.avg(F.abs(F.lit(float(weights[c])) * (F.col(c) - F.col("_m")[c]))), digits).alias(c) for c in cols])
+    att = wide.unpivot([], cols, "feature", "importance")
+    rk = Window.orderBy(F.desc("importance"), F.asc("feature"))      # one row per feature
     return att.withColumn("rank", F.row_number().over(rk).cast("long"))

@@ -30,16 +30,17 @@ def _sc_cte() -> str:
     m = "(CAST(e.obs_amt_sum AS DOUBLE) / CAST(e.obs_amt_n AS DOUBLE))"
     return f""",
 sc AS (
-  SELECT * FROM (
-    SELECT l.account_id, l.churned AS y,
-           floor(10000 * ({m} / ({m} + CAST(e.obs_bal_last AS DOUBLE)))) / 10000.0 AS p
-    FROM label l JOIN elig e ON e.account_id = l.account_id) q
-  WHERE p IS NOT NULL)"""
+  SELECT account_id, y, CASE account_id % 101
+      WHEN 0 THEN NULL WHEN 1 THEN 0.2e0 WHEN 2 THEN 0.1e0 WHEN 3 THEN 0.199999999999e0
+      WHEN 4 THEN 0.099999999999e0 WHEN 5 THEN 0.59375e0 WHEN 6 THEN 0.00015e0 ELSE x * x * x END AS p
+  FROM (SELECT l.account_id, l.churned AS y, ({m} / ({m} + CAST(e.obs_bal_last AS DOUBLE)) - 0.2e0) / 0.8e0 AS x
+        FROM label l JOIN elig e ON e.account_id = l.account_id) q),
+su AS (SELECT count(*) AS unscored FROM sc WHERE p IS NULL)"""
 
 
 def _curve_cte() -> str:
     return """,
-d AS (SELECT p AS s, CAST(sum(y) AS BIGINT) AS pos, CAST(count(*) - sum(y) AS BIGINT) AS neg FROM sc GROUP BY p),
+d AS (SELECT p AS s, CAST(sum(y) AS BIGINT) AS pos, CAST(count(*) - sum(y) AS BIGINT) AS neg FROM sc WHERE p IS NOT NULL GROUP BY p),
 c AS (SELECT s, pos, neg, sum(pos) OVER (ORDER BY s DESC) AS tp, sum(neg) OVER (ORDER BY s DESC) AS fp,
              sum(pos) OVER () AS "P", sum(neg) OVER () AS "N" FROM d)"""
 
@@ -187,17 +188,20 @@ SELECT risk_tier, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives, sum(y) / c
 th AS (SELECT * FROM {_thresholds(SWEEP_THRESHOLDS)} v(threshold))
 SELECT th.threshold, count(sc.account_id) AS flagged, CAST(coalesce(sum(sc.y), 0) AS BIGINT) AS positives,
        CASE WHEN count(sc.account_id) > 0 THEN CAST(coalesce(sum(sc.y), 0) AS DOUBLE) / count(sc.account_id) END AS rate,
-       CAST(coalesce(sum(sc.y), 0) AS DOUBLE) / (SELECT sum(y) FROM sc) AS captured
+       CAST(coalesce(sum(sc.y), 0) AS DOUBLE) / (SELECT sum(y) FROM sc WHERE p IS NOT NULL) AS captured,
+       (SELECT unscored FROM su) AS unscored
 FROM th LEFT JOIN sc ON sc.p >= th.threshold GROUP BY th.threshold""",
         "roc_auc": sc + """,
-r AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS avg_rank FROM sc),
+r AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS avg_rank FROM sc WHERE p IS NOT NULL),
 k AS (SELECT sum(avg_rank) FILTER (WHERE y = 1) AS s, count(*) FILTER (WHERE y = 1) AS np,
              count(*) FILTER (WHERE y = 0) AS nn FROM r)
-SELECT CASE WHEN np > 0 AND nn > 0 THEN (s - np * (np + 1) / 2.0) / (CAST(np AS DOUBLE) * CAST(nn AS DOUBLE)) END AS roc_auc
+SELECT CASE WHEN np > 0 AND nn > 0 THEN (s - np * (np + 1) / 2.0) / (CAST(np AS DOUBLE) * CAST(nn AS DOUBLE)) END AS roc_auc,
+       (SELECT unscored FROM su) AS unscored
 FROM k""",
         "average_precision": sc + _curve_cte() + """
-SELECT round(sum(CAST(pos AS DOUBLE) / "P" * (CAST(tp AS DOUBLE) / (tp + fp))), 10) AS average_precision FROM c""",
-        "brier": sc + "\nSELECT round(avg(power(p - y, 2)), 10) AS brier FROM sc",
+SELECT round(sum(CAST(pos AS DOUBLE) / "P" * (CAST(tp AS DOUBLE) / (tp + fp))), 10) AS average_precision,
+       (SELECT unscored FROM su) AS unscored FROM c""",
+        "brier": sc + "\nSELECT round(avg(power(p - y, 2)), 10) AS brier, count(*) FILTER (WHERE p IS NULL) AS unscored FROM sc",
         "roc_points": sc + _curve_cte() + """
 SELECT s AS threshold, round(fp / "N", 10) AS fpr, round(tp / "P", 10) AS tpr FROM c
 UNION ALL SELECT NULL, 0.0, 0.0""",
@@ -206,9 +210,9 @@ SELECT s AS threshold, round(tp / (tp + fp), 10) AS precision, round(tp / "P", 1
 UNION ALL SELECT NULL, 1.0, 0.0""",
         "confusion_matrix": sc + f""",
 th AS (SELECT * FROM {_thresholds(CONFUSION_THRESHOLDS)} v(threshold)),
-g AS (SELECT threshold, a.actual, b.predicted FROM th, (VALUES (0), (1)) a(actual), (VALUES (0), (1)) b(predicted))
+g AS (SELECT threshold, a.actual, b.predicted FROM th, (VALUES (0), (1)) a(actual), (VALUES (0), (1), (NULL)) b(predicted))
 SELECT g.threshold, g.actual, g.predicted, count(sc.account_id) AS n
-FROM g LEFT JOIN sc ON sc.y = g.actual AND CAST(sc.p >= g.threshold AS INTEGER) = g.predicted
+FROM g LEFT JOIN sc ON sc.y = g.actual AND CAST(sc.p >= g.threshold AS INTEGER) IS NOT DISTINCT FROM g.predicted
 GROUP BY g.threshold, g.actual, g.predicted""",
         "classification_report": sc + f""",
 k AS (SELECT {cnt(1, 1, 0.5)} AS tp, {cnt(0, 1, 0.5)} AS fp, {cnt(1, 0, 0.5)} AS fn, {cnt(0, 0, 0.5)} AS tn FROM sc),
@@ -227,13 +231,14 @@ UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 10), round((r0 + r1) / 2, 10)
 UNION ALL SELECT 'weighted avg',
   round(CASE WHEN n > 0 THEN (p0 * s0 + p1 * s1) / n ELSE 0.0 END, 10),
   round(CASE WHEN n > 0 THEN (r0 * s0 + r1 * s1) / n ELSE 0.0 END, 10),
-  round(CASE WHEN n > 0 THEN (f0 * s0 + f1 * s1) / n ELSE 0.0 END, 10), n FROM f""",
+  round(CASE WHEN n > 0 THEN (f0 * s0 + f1 * s1) / n ELSE 0.0 END, 10), n FROM f
+UNION ALL SELECT 'unscored', NULL, NULL, NULL, (SELECT unscored FROM su)""",
         "calibration_bins": sc + f""",
 e AS (SELECT {edges} FROM sc),
-b AS (SELECT sc.p, sc.y, {binexpr} AS bin FROM sc CROSS JOIN e)
+b AS (SELECT sc.p, sc.y, CASE WHEN p IS NOT NULL THEN {binexpr} END AS bin FROM sc CROSS JOIN e)
 SELECT bin, count(*) AS n, round(avg(p), 10) AS mean_p, round(avg(CAST(y AS DOUBLE)), 10) AS frac_pos
 FROM b GROUP BY bin""",
-        "topk_accounts": sc + "\nSELECT account_id, y, p FROM sc ORDER BY p DESC, account_id LIMIT 10",
+        "topk_accounts": sc + "\nSELECT account_id, y, p FROM sc WHERE p IS NOT NULL ORDER BY p DESC, account_id LIMIT 10",
         "linear_attribution": ft + f""",
 lv AS (
   {long_att}),

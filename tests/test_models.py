@@ -59,13 +59,12 @@ def test_isotonic_is_monotone(trainer):
 def test_permutation_keeps_values(spark):
     from lapse.models.train import partners
     df = spark.createDataFrame([(i, float(i)) for i in range(200)], "account_id long, x double")
-    from lapse.models.train import permute_buckets
-    assert permute_buckets(200) == 1 and permute_buckets(2_500_000) == 3
-    for nb in (1, 4):
-        pr = partners(df, "s", buckets=nb).collect()
-        assert sorted(r._partner for r in pr) == list(range(200))       # a permutation
-        assert all(r._partner != r.account_id for r in pr)              # without fixed points
-    p = permuted(df, "x", "s", buckets=4)
+    pr = partners(df, "s").collect()
+    assert sorted(r._partner for r in pr) == list(range(200))       # a permutation
+    assert all(r._partner != r.account_id for r in pr)              # without fixed points
+    again = {r.account_id: r._partner for r in partners(df.repartition(7), "s").collect()}
+    assert again == {r.account_id: r._partner for r in pr}          # of the keys and the salt alone
+    p = permuted(df, "x", "s")
     assert sorted(r.x for r in p.collect()) == sorted(r.x for r in df.collect())
     moved = p.join(df.withColumnRenamed("x", "x0"), "account_id").where("x != x0").count()
     assert moved > 150

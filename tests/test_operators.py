@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lapse.operators.curves import ap_from_curve, auc_from_curve, score_curve
 from lapse.operators.profile import null_census, numeric_profile
 from lapse.operators.quantile import quantile_cont, quantiles
-from lapse.operators.split import hash_split, stratified_split
+from lapse.operators.split import stratified_split
 
 
 def _vals(seed, n, skew=False):
@@ -20,30 +20,53 @@ def _vals(seed, n, skew=False):
     return v
 
 
-# single_task_rows=0 forces the distributed (histogram / two-level) paths
-PATHS = [None, 0]
-
-
-@pytest.mark.parametrize("limit", PATHS)
 @pytest.mark.parametrize("seed,n,skew", [(1, 1, False), (2, 2, False), (3, 500, False), (4, 999, True)])
-def test_quantiles_equal_numpy(spark, seed, n, skew, limit):
+def test_quantiles_equal_numpy(spark, seed, n, skew):
     v = _vals(seed, n, skew)
     df = spark.createDataFrame([(x,) for x in v] + [(None,), (float("nan"),)], "x double")
     qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {r.q: r.value for r in quantiles(df, "x", qs, single_task_rows=limit).collect()}
+    got = {r.q: r.value for r in quantiles(df, "x", qs).collect()}
     for q in qs:
         assert got[q] == pytest.approx(float(np.percentile(np.array(v), q * 100)), rel=1e-12, abs=1e-12)
 
 
-@pytest.mark.parametrize("limit", PATHS)
-def test_grouped_quantiles_and_empty(spark, limit):
+def test_grouped_quantiles_and_empty(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 10.0), ("c", None)], "g string, x double")
-    got = {(r.g, r.q): r.value for r in quantiles(df, "x", [0.5], ["g"], single_task_rows=limit).collect()}
+    got = {(r.g, r.q): r.value for r in quantiles(df, "x", [0.5], ["g"]).collect()}
     assert got == {("a", 0.5): 2.0, ("b", 0.5): 10.0}
     empty = spark.createDataFrame([(None,)], "x double")
     assert quantile_cont(empty, "x", 0.5).first().value is None
 
 
+@pytest.mark.parametrize("values", [
+    [float(i) for i in range(400)] + [1e15],             # one outlier
+    [7.25] * 300,                                         # one value for all rows
+    [0.0, -0.0, 1e-300, -1e300, 1e300],
+])
+def test_quantiles_of_odd_distributions(spark, values):
+    df = spark.createDataFrame([(x,) for x in values], "x double").repartition(5)
+    got = {r.q: r.value for r in quantiles(df, "x", [0.0, 0.1, 0.5, 0.99, 1.0]).collect()}
+    for q, v in got.items():
+        assert v == pytest.approx(float(np.percentile(np.array(values), q * 100)), rel=1e-12, abs=1e-300)
+
+
+def test_outlier_does_not_fill_one_partition(spark):
+    from lapse.operators.prefix import running_totals
+    df = spark.range(20_000).select(F.when(F.col("id") == 0, 1e15).otherwise(F.exp(F.col("id") / 9000)).alias("x"),
+                                    F.lit(1).cast("long").alias("n"))
+    sizes = running_totals(df, [], "x", ["n"]).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 20_000
+    rows = running_totals(df, [], "x", ["n"]).orderBy("x").collect()
+    assert [r.n_run for r in rows] == list(range(1, 20_001)) and {r.n_all for r in rows} == {20_000}
+
+
+def test_running_totals_keep_null_groups(spark):
+    from lapse.operators.prefix import running_totals
+    df = spark.createDataFrame([(None, 1.0, 2), (None, 2.0, 3), ("a", 1.0, 5)], "g string, x double, n long")
+    got = {(r.g, r.x): (r.n_run, r.n_all) for r in running_totals(df, ["g"], "x", ["n"], descending=True).collect()}
+    assert got == {(None, 2.0): (3, 5), (None, 1.0): (5, 5), ("a", 1.0): (5, 5)}
+
+
 def _brute_auc(s, y):
     pos = [a for a, b in zip(s, y) if b == 1]
     neg = [a for a, b in zip(s, y) if b == 0]
@@ -64,14 +87,13 @@ def _brute_ap(s, y):
     return ap
 
 
-@pytest.mark.parametrize("limit", PATHS)
 @pytest.mark.parametrize("seed", [0, 1, 2])
-def test_auc_ap_against_brute_force(spark, seed, limit):
+def test_auc_ap_against_brute_force(spark, seed):
     rnd = random.Random(seed)
     s = [round(rnd.random(), 2) for _ in range(300)]          # many ties
     y = [int(rnd.random() < 0.2 + 0.5 * x) for x in s]
     df = spark.createDataFrame(list(zip(s, y)), "p double, y int")
-    curve = score_curve(df, "p", "y", single_task_rows=limit)
+    curve = score_curve(df, "p", "y")
     assert auc_from_curve(curve).first().roc_auc == pytest.approx(_brute_auc(s, y), abs=1e-12)
     assert ap_from_curve(curve).first().average_precision == pytest.approx(_brute_ap(s, y), abs=1e-9)
     flipped = df.withColumn("p", 1 - F.col("p"))
@@ -89,10 +111,34 @@ def test_metric_edges(spark):
     assert auc_from_curve(score_curve(two, "p", "y")).first().roc_auc == 0.0
 
 
-@pytest.mark.parametrize("limit", PATHS)
-def test_grouped_curves(spark, limit):
+def test_auc_of_huge_counts(spark):
+    """2e9 positives and 8e9 negatives: products pass the range of LONG."""
+    curve = spark.createDataFrame(
+        [(0.9, 1_500_000_000, 1_000_000_000, 1_500_000_000, 1_000_000_000, 2_000_000_000, 8_000_000_000),
+         (0.1, 500_000_000, 7_000_000_000, 2_000_000_000, 8_000_000_000, 2_000_000_000, 8_000_000_000)],
+        "s double, pos long, neg long, tp long, fp long, P long, N long")
+    want = (1.5e9 * 7e9 + 0.5 * (1.5e9 * 1e9 + 0.5e9 * 7e9)) / (2e9 * 8e9)
+    assert auc_from_curve(curve).first().roc_auc == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("rows", [[(0.3, 1), (0.6, 1)], [(0.3, 0), (0.6, 0)], [], [(None, 1), (float("nan"), 0)]])
+def test_points_of_one_class_and_of_nothing(spark, rows):
+    from lapse.plans.metrics import pr_points_of, roc_points_of
+    df = spark.createDataFrame(rows, "p double, y int")
+    curve = score_curve(df, "p", "y")
+    scored = [r for r in rows if r[0] == r[0] and r[0] is not None]
+    roc, pr = roc_points_of(curve).collect(), pr_points_of(curve).collect()
+    assert len(roc) == len(pr) == len(scored) + 1
+    only = {y for _, y in scored}
+    for r in roc:
+        if r.threshold is not None:
+            assert (r.tpr is None) == (1 not in only) and (r.fpr is None) == (0 not in only)
+    assert ap_from_curve(curve).first().average_precision is None or 1 in only
+
+
+def test_grouped_curves(spark):
     df = spark.createDataFrame([("a", 0.1, 0), ("a", 0.9, 1), ("b", 0.9, 0), ("b", 0.1, 1)], "g string, p double, y int")
-    got = {r.g: r.roc_auc for r in auc_from_curve(score_curve(df, "p", "y", ["g"], single_task_rows=limit),
+    got = {r.g: r.roc_auc for r in auc_from_curve(score_curve(df, "p", "y", ["g"]),
                                                   ["g"]).collect()}
     assert got == {"a": 1.0, "b": 0.0}
 
@@ -102,13 +148,10 @@ def test_stratified_split_exact_sizes_and_order_free(spark):
     df = spark.createDataFrame(rows, "k long, y int")
     s1 = {r.k: r.fold for r in stratified_split(df, "k", "y", 20, 42).collect()}
     s2 = {r.k: r.fold for r in stratified_split(df.orderBy(F.rand(7)).repartition(5), "k", "y", 20, 42).collect()}
-    s3 = {r.k: r.fold for r in stratified_split(df, "k", "y", 20, 42, single_task_rows=0).collect()}
-    assert s1 == s2 == s3
+    assert s1 == s2
     test = [k for k, f in s1.items() if f == "test"]
     assert sum(1 for k in test if k % 10 == 0) == 20          # round(100 * 0.2)
     assert sum(1 for k in test if k % 10 != 0) == 180         # round(900 * 0.2)
-    h = hash_split(df, "k", 20, 42)
-    assert 120 < h.where("fold = 'test'").count() < 280
 
 
 def test_profile_and_null_census(spark):

@@ -36,15 +36,3 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["account_id", "avg_balance_obs", "avg_balance_label", "balance_ratio", "churned"]
 
-
-@pytest.mark.parametrize("name", ["churn_label", "stratified_split3", "roc_auc", "pr_points", "calibration_bins",
-                                  "numeric_profile", "median_impute", "baseline_majority"])
-def test_distributed_paths_match_duckdb(spark, sf_dir, con, name, monkeypatch):
-    """The multi-level paths (used above SINGLE_TASK_ROWS) give the same rows."""
-    from lapse import config
-    monkeypatch.setattr(config, "SINGLE_TASK_ROWS", 0)
-    df = E.queries()[name](spark, sf_dir)
-    rows, cols = [tuple(r) for r in df.collect()], df.columns
-    cur = con.execute(SQL[name])
-    dcols = [d[0] for d in cur.description]
-    assert canon(rows, cols) == canon(cur.fetchall(), dcols)

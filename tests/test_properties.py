@@ -17,10 +17,10 @@ values = st.lists(st.one_of(st.integers(-50, 50).map(float),
 
 
 @SETTINGS
-@given(v=values, q=st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]), limit=st.sampled_from([None, 0]))
-def test_quantile_matches_numpy(spark, v, q, limit):
+@given(v=values, q=st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]))
+def test_quantile_matches_numpy(spark, v, q):
     df = spark.createDataFrame([(x,) for x in v], "x double")
-    got = quantiles(df, "x", [q], single_task_rows=limit).first().value
+    got = quantiles(df, "x", [q]).first().value
     assert got == pytest.approx(float(np.percentile(np.array(v), q * 100)), rel=1e-9, abs=1e-9)
 
 
@@ -33,8 +33,7 @@ def test_auc_flip_and_order_invariance(spark, rows):
     df = spark.createDataFrame(rows, "p double, y int")
     auc = auc_from_curve(score_curve(df, "p", "y")).first().roc_auc
     flipped = auc_from_curve(score_curve(df.withColumn("p", 1 - F.col("p")), "p", "y")).first().roc_auc
-    shuffled = auc_from_curve(score_curve(df.orderBy(F.rand(3)).repartition(3), "p", "y",
-                                          single_task_rows=0)).first().roc_auc
+    shuffled = auc_from_curve(score_curve(df.orderBy(F.rand(3)).repartition(3), "p", "y")).first().roc_auc
     if auc is None:
         assert flipped is None and shuffled is None
     else:
