@@ -60,6 +60,7 @@ def queries() -> dict[str, Query]:
         "one_hot_drop_first": dataset.one_hot_drop_first,
         "standard_scale": dataset.standard_scale_q,
         "design_matrix": dataset.design_matrix,
+        "design_matrix_all_dates": dataset.design_matrix_all_dates,
         "stratified_split": dataset.stratified_split_q,
         "stratified_split3": dataset.stratified_split3_q,
         "split_audit": dataset.split_audit,

@@ -59,11 +59,16 @@ def class_weight(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> Data
     return agg.select("neg", "pos", F.floor(F.try_divide(F.col("neg"), F.col("pos"))).alias("scale_pos_weight"))
 
 
-def design_matrix(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS,
-                  ft: DataFrame | None = None, levels: list[str] | None = None) -> DataFrame:
-    """M1: features as DOUBLE, NULL -> 0, frequency one-hot (all levels)."""
+def design_matrix(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, ft: DataFrame | None = None,
+                  levels: list[str] | None = None, point_in_time: bool = True) -> DataFrame:
+    """M1: features as DOUBLE, NULL -> 0, frequency one-hot (all levels).
+
+    Products and standing orders count up to the end of the observation window,
+    so no later row leaks into a model.
+    """
     # the levels and the matrix both read the feature table: compute it once
-    ft = ft if ft is not None else materialize(feature_table(spark, sf_dir, w))
+    ft = ft if ft is not None else materialize(
+        feature_table(spark, sf_dir, w, as_of=w.obs_end_lit if point_in_time else None))
     levels = levels if levels is not None else levels_of(ft, "frequency")
     feats = [c for c in ft.columns if c not in NON_FEATURES]
     num = [F.coalesce(coerce_numeric(F.col(c).cast("string")) if dict(ft.dtypes)[c] == "string"
@@ -72,6 +77,11 @@ def design_matrix(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS,
     return ft.select("account_id", "churned", *num, *dummies)
 
 
+def design_matrix_all_dates(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
+    """M1 with products and standing orders of all dates (parity form, not used to fit)."""
+    return design_matrix(spark, sf_dir, w, point_in_time=False)
+
+
 def feature_columns(dm: DataFrame, exclude: tuple = ()) -> list[str]:
     """P10: feature columns by exclusion."""
     return [c for c in dm.columns if c not in NON_FEATURES and c not in exclude]

@@ -11,7 +11,7 @@ from ..operators.membership import bridge_keys, existence_flag, key_audit, semi_
 from ..sources.tables import (accounts, cards, dispositions, districts, loans, standing_orders_src,
                               transactions)
 from ..session import materialize
-from .activity import account_activity, mean_of, money
+from .activity import account_activity, mean_of, money, until
 from .labels import eligible_activity, labelled_activity
 
 STD_DECIMALS = 6
@@ -30,13 +30,13 @@ def _tx_feature_cols():
 
 def tx_features(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """A2: per account with observation-window activity."""
-    act = account_activity(transactions(spark, sf_dir), w)
+    act = account_activity(until(transactions(spark, sf_dir), w.obs_end_lit), w)
     return act.where(F.col("tx_count") > 0).select("account_id", *_tx_feature_cols())
 
 
 def balance_last(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """A3: balance of the latest (d, trans_id) row up to obs_end, nulls skipped."""
-    act = account_activity(transactions(spark, sf_dir), w)
+    act = account_activity(until(transactions(spark, sf_dir), w.obs_end_lit), w)
     return (act.where(F.col("obs_bal_n") > 0)
                .select("account_id", money("obs_bal_last").alias("balance_last")))
 
@@ -73,15 +73,21 @@ def product_flag_rates(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -
                   F.sum("has_card").cast("long").alias("n_card"), F.avg("has_card").alias("card_rate"))
 
 
-def standing_orders_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = standing_orders_src(spark, sf_dir)
-    return o.groupBy("account_id").agg(F.count("order_id").alias("n_orders"),
-                                       F.sum("amount").cast("double").alias("order_amount_sum"))
+def product_aggregates(as_of: str | None) -> tuple:
+    """Loan flag and standing orders as aggregates of the transaction rows (they are the
+    same table), up to ``as_of`` if given; NULL where there are no standing orders."""
+    seen = F.lit(True) if as_of is None else F.col("d") <= F.lit(as_of).cast("date")
+    standing = seen & F.col("is_standing")
+    return (F.max(F.when(seen & F.col("is_loan"), 1).otherwise(0)).alias("has_loan"),
+            F.nullif(F.count(F.when(standing, F.col("trans_id"))), F.lit(0)).alias("n_orders"),
+            F.sum(F.when(standing, F.col("amount"))).cast("double").alias("order_amount_sum"))
 
 
 def standing_orders(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """A5: count and sum of standing (open-status) orders per account."""
-    return standing_orders_agg(spark, sf_dir)
+    o = standing_orders_src(spark, sf_dir)
+    return o.groupBy("account_id").agg(F.count("order_id").alias("n_orders"),
+                                       F.sum("amount").cast("double").alias("order_amount_sum"))
 
 
 def card_holders(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
@@ -125,8 +131,8 @@ def join_key_audit(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> Da
 
 
 def dimension_enrich(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    """Accounts left join the district dimension (one row per nation: broadcast)."""
-    return accounts(spark, sf_dir).join(F.broadcast(districts(spark, sf_dir)), "district_id", "left")
+    """Accounts left join the district dimension (one row per nation)."""
+    return accounts(spark, sf_dir).join(districts(spark, sf_dir), "district_id", "left")
 
 
 FEATURE_ORDER = [
@@ -144,21 +150,21 @@ def feature_table(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, as_of:
     All per-account inputs are aggregated before joining, so every join is
     key-unique; the activity aggregate is shared by label and tx features.
     """
-    # one activity aggregate feeds both the label and the tx features
-    act = materialize(eligible_activity(spark, sf_dir, w))
+    # one activity aggregate feeds the label, the tx features, the loan flag and the standing orders
+    act = materialize(eligible_activity(spark, sf_dir, w, product_aggregates(as_of), all_dates=as_of is None))
     t = tenure_expr("open_date", w.obs_end_lit)
     if label is None:
         # label columns computed on the activity rows themselves: no spine/tx join
         base = labelled_activity(act, w)
     else:
         base = label.select("account_id", "churned").join(act, "account_id", "left")
-    txf = base.select("account_id", "churned", t.alias("tenure_days"), *_tx_feature_cols())
+    txf = base.select("account_id", "churned", t.alias("tenure_days"), *_tx_feature_cols(),
+                      F.coalesce("has_loan", F.lit(0)).alias("has_loan"), "n_orders", "order_amount_sum")
     txf = txf.withColumn("tx_count_per_year", annual_rate("tx_count", "tenure_days"))
     feat = txf.join(accounts(spark, sf_dir), "account_id", "left")
-    feat = _flags(feat, spark, sf_dir, as_of)
-    feat = (feat.join(standing_orders_agg(spark, sf_dir), "account_id", "left")
-                .join(F.broadcast(districts(spark, sf_dir)), "district_id", "left"))
+    feat = existence_flag(feat, card_holders(spark, sf_dir, as_of), "account_id", "has_card")
+    feat = feat.join(districts(spark, sf_dir), "district_id", "left")
     if fill:
-        # early fill of the reference; every other NULL is filled in the design matrix
+        # early fill; every other NULL is filled in the design matrix
         feat = feat.fillna({"n_orders": 0, "order_amount_sum": 0.0, "tx_amount_std": 0.0})
     return feat.select(*FEATURE_ORDER)

@@ -10,7 +10,7 @@ from ..functions.columns import flag_le, flag_lt, in_range
 from ..operators.quantile import quantile_cont
 from ..session import materialize
 from ..sources.tables import accounts, transactions
-from .activity import account_activity, mean_of
+from .activity import account_activity, mean_of, until
 
 
 def eligible_from(act: DataFrame, spine: DataFrame, w: Windows = WINDOWS) -> DataFrame:
@@ -19,8 +19,11 @@ def eligible_from(act: DataFrame, spine: DataFrame, w: Windows = WINDOWS) -> Dat
     return act.where(F.col("open_date") <= cut).join(spine.select("account_id"), "account_id", "left_semi")
 
 
-def eligible_activity(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    act = account_activity(transactions(spark, sf_dir), w)
+def eligible_activity(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, extra: tuple = (),
+                      all_dates: bool = False) -> DataFrame:
+    # rows after the label window matter to no rule: the bound reaches the scan
+    tx = transactions(spark, sf_dir)
+    act = account_activity(tx if all_dates else until(tx, w.label_end_lit), w, extra)
     return eligible_from(act, accounts(spark, sf_dir), w)
 
 

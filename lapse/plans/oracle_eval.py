@@ -60,6 +60,7 @@ split3 AS (SELECT * FROM split WHERE fold = 'test' UNION ALL SELECT * FROM split
     ctext = f"""ctext AS (SELECT c_custkey AS account_id,
        CASE WHEN c_custkey % {SI.sentinel_every} = 0 THEN '?' ELSE CAST(c_acctbal AS VARCHAR) END AS t FROM customer)"""
     ft = "WITH ft AS (" + feature_table_sql(w) + ")\n"
+    ft_asof = "WITH ft AS (" + feature_table_sql(w, w.obs_end_lit) + ")\n"
     ft_raw = "WITH ft AS (" + feature_table_sql(w).replace("coalesce(t.tx_amount_std, 0.0)", "t.tx_amount_std") \
         .replace("coalesce(o.n_orders, 0)", "o.n_orders").replace("coalesce(o.order_amount_sum, 0.0)", "o.order_amount_sum") + ")\n"
     from .features import FEATURE_ORDER
@@ -156,7 +157,12 @@ x AS (SELECT s.account_id, s.fold, c.c_acctbal AS acctbal FROM split s JOIN cust
 st AS (SELECT CAST(sum(CAST(acctbal AS DECIMAL(28,6))) AS DOUBLE) / CAST(count(acctbal) AS DOUBLE) AS m,
               stddev_pop(acctbal) AS sd FROM x WHERE fold = 'train')
 SELECT account_id, fold, round((acctbal - m) / sd, 6) AS acctbal_scaled FROM x CROSS JOIN st""",
-        "design_matrix": ft + f"""
+        "design_matrix": ft_asof + f"""
+SELECT account_id, churned,
+       {dm_cols},
+       {oh_ft}
+FROM ft""",
+        "design_matrix_all_dates": ft + f"""
 SELECT account_id, churned,
        {dm_cols},
        {oh_ft}

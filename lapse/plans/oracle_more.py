@@ -20,7 +20,7 @@ disp AS (SELECT o_orderkey AS disp_id, o_custkey AS account_id FROM orders{disp_
 card_h AS (SELECT DISTINCT account_id FROM disp WHERE disp_id IN (SELECT disp_id FROM card)),
 ord AS (SELECT o_custkey AS account_id, count(o_orderkey) AS n_orders,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS order_amount_sum
-        FROM orders WHERE o_orderstatus = '{SI.standing_status}' GROUP BY o_custkey),
+        FROM orders WHERE o_orderstatus = '{SI.standing_status}'{loan_cut} GROUP BY o_custkey),
 supp AS (SELECT s_nationkey AS district_id, count(*) AS n_suppliers,
                 CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) / CAST(count(s_acctbal) AS DOUBLE) AS supp_acctbal_mean,
                 min(s_acctbal) AS supp_acctbal_min, max(s_acctbal) AS supp_acctbal_max

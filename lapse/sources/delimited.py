@@ -77,6 +77,7 @@ def with_parsed_dates(df: DataFrame, col: str = "date", out: str = "date_parsed"
 
 def rewrite_partitioned(df: DataFrame, path: str, date_col: str = "date_parsed") -> None:
     """S2 at scale: a large delimited table is rewritten once to Parquet
-    partitioned by year, so window filters prune whole directories."""
-    (df.withColumn("year", F.year(date_col)).repartition("year")
+    partitioned by year, so window filters prune whole directories.  The
+    rebalance gathers small years and splits large ones over several tasks."""
+    (df.withColumn("year", F.year(date_col)).hint("rebalance", "year")
        .write.mode("overwrite").partitionBy("year").parquet(path))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import STAND_IN, WINDOWS, StandIn, Windows
+from ..config import STAND_IN, StandIn
 
 L, I, D, S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 TS = T.TimestampNTZType()
@@ -61,9 +61,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def cents(c: Column) -> Column:
-    """Money as exact integer cents (LONG): sums stay exact and on Spark's fast
-    long path instead of wide-DECIMAL arithmetic."""
-    return F.round(c * F.lit(100)).cast("long")
+    """The DECIMAL(18,2) amount as integer cents (LONG): sums stay exact and on
+    Spark's fast long path instead of wide-DECIMAL arithmetic.  What is no amount
+    (NULL, NaN, infinite, too large) is NULL."""
+    return (c.try_cast(MONEY) * 100).cast("long")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +72,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     DECIMAL(18,2) plus the same values as integer cents (Catalyst keeps only
     the columns a consumer reads)."""
     o = read_table(spark, sf_dir, "orders")
-    amt = F.col("o_totalprice").cast(MONEY)
+    amt = F.col("o_totalprice").try_cast(MONEY)
     return o.select(
         F.col("o_orderkey").alias("trans_id"),
         F.col("o_custkey").alias("account_id"),
@@ -80,6 +81,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         amt.alias("balance"),
         cents(F.col("o_totalprice")).alias("amount_cents"),
         cents(F.col("o_totalprice")).alias("balance_cents"),
+        (F.col("o_orderpriority") == STAND_IN.urgent_priority).alias("is_loan"),
+        (F.col("o_orderstatus") == STAND_IN.standing_status).alias("is_standing"),
     )
 
 
@@ -129,7 +132,7 @@ def dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """district -> nation + region + per-nation supplier aggregates.
 
-    Small by construction (one row per nation); consumers broadcast it.
+    One row per nation; Spark broadcasts it while it is small.
     """
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
@@ -141,7 +144,7 @@ def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("s_acctbal").alias("supp_acctbal_min"),
         F.max("s_acctbal").alias("supp_acctbal_max"),
     )
-    dim = (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    dim = (n.join(r, n.n_regionkey == r.r_regionkey, "left")
             .select(F.col("n_nationkey").alias("district_id"), F.col("n_name").alias("district_name"),
                     F.col("r_name").alias("region"), F.col("n_regionkey").alias("region_id")))
     return dim.join(supp, "district_id", "left")
@@ -173,7 +176,3 @@ def birth_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     mm = F.lit(1) + k % 12 + F.when(k % 2 == 1, F.lit(50)).otherwise(F.lit(0))
     dd = F.lit(1) + k % 28
     return c.select(k.alias("client_id"), (yy * 10000 + mm * 100 + dd).cast("int").alias("birth_number"))
-
-
-def windows_default() -> Windows:
-    return WINDOWS
