@@ -55,7 +55,7 @@ REQUIRED_FIELDS = ("district_id", "acctbal", "frequency")
 
 
 def reject_incomplete(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    """Records missing a required field are rejected with their miss count.
+    """Records missing a required field are rejected with the names of the fields.
 
     The balance is missing in every ``incomplete_every``-th record (stand-in
     for a request body without that field).
@@ -64,8 +64,9 @@ def reject_incomplete(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) ->
     rec = c.select(F.col("c_custkey").alias("account_id"), F.col("c_nationkey").alias("district_id"),
                    F.when(F.col("c_custkey") % STAND_IN.incomplete_every != 0, F.col("c_acctbal")).alias("acctbal"),
                    F.col("c_mktsegment").alias("frequency"))
-    miss = sum((F.col(f).isNull().cast("int") for f in REQUIRED_FIELDS), F.lit(0))
-    return rec.select("account_id", miss.alias("n_missing")).where(F.col("n_missing") > 0)
+    missing = F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in REQUIRED_FIELDS]))
+    return (rec.select("account_id", F.size(missing).alias("n_missing"), F.array_join(missing, ",").alias("missing"))
+               .where(F.col("n_missing") > 0))
 
 
 def parse_yymmdd_q(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:

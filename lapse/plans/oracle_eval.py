@@ -97,8 +97,11 @@ SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, CAST(n_regionkey AS
         "json_record_parse": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
         "json_sample_row": "SELECT * FROM customer ORDER BY c_custkey LIMIT 1",
         "reject_incomplete": f"""
-SELECT account_id, n_missing FROM (
+SELECT account_id, n_missing, missing FROM (
   SELECT c_custkey AS account_id,
+         concat_ws(',', CASE WHEN c_nationkey IS NULL THEN 'district_id' END,
+                   CASE WHEN (CASE WHEN c_custkey % {SI.incomplete_every} <> 0 THEN c_acctbal END) IS NULL THEN 'acctbal' END,
+                   CASE WHEN c_mktsegment IS NULL THEN 'frequency' END) AS missing,
          CAST(c_nationkey IS NULL AS INTEGER)
          + CAST((CASE WHEN c_custkey % {SI.incomplete_every} <> 0 THEN c_acctbal END) IS NULL AS INTEGER)
          + CAST(c_mktsegment IS NULL AS INTEGER) AS n_missing

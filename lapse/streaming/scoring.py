@@ -1,11 +1,12 @@
-"""Streaming scoring (M12): the reference's HTTP scoring endpoint re-aimed as a
-Structured Streaming job.
-
-Request records arrive as JSON files in a landing folder; each micro-batch is
-parsed with a fixed schema (no inference), incomplete records are rejected,
-complete ones are scored by the fitted pipeline (stateless, no watermark
-needed) and appended to a Parquet sink with a checkpoint, so a restarted query
-resumes exactly where it stopped.
+"""Scoring of request records, in batches and as a stream.
+
+Records are JSON objects; features may be numbers, numeric text or booleans.
+Every field is read as text and converted, so no record is lost to a type.
+Features made by the encoder (``frequency_*``) count as 0 when absent; any other
+missing or unusable field rejects the record, with the names of the fields.
+Accepted records are scored by the saved pipeline and appended to a Parquet
+sink, rejected ones to a sink of their own; each has a checkpoint, so a
+restarted query goes on exactly where it stopped.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import os
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,38 +23,79 @@ from ..config import WINDOWS, Windows
 from ..session import checkpoint_dir
 
 
+ENCODED = "frequency_"
+
+
 def request_schema(features: list[str], key: str = "account_id") -> T.StructType:
+    """Every feature as text: ``true``, ``1`` and ``"1.5"`` all arrive."""
     return T.StructType([T.StructField(key, T.LongType())]
-                        + [T.StructField(c, T.DoubleType()) for c in features])
+                        + [T.StructField(c, T.StringType()) for c in features])
+
+
+def as_number(c: Column) -> Column:
+    """Number of a boolean, a number or numeric text; NULL for anything else and for NaN."""
+    text = F.lower(F.trim(c.cast("string")))
+    v = F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(text.try_cast("double"))
+    return F.when(~F.isnan(v), v)
+
+
+def parse_records(df: DataFrame, features: list[str], key: str = "account_id") -> DataFrame:
+    """(key, features as DOUBLE): absent encoder columns are 0 (P11), other absent ones NULL."""
+    have = set(df.columns)
+
+    def value(c: str) -> Column:
+        v = as_number(F.col(c)) if c in have else F.lit(None).cast("double")
+        return F.coalesce(v, F.lit(0.0)) if c.startswith(ENCODED) else v
 
+    return df.select(key, *[value(c).alias(c) for c in features])
 
-def split_complete(df: DataFrame, features: list[str]) -> tuple[DataFrame, DataFrame]:
-    """P12 per record: rows with every required field vs rejected rows."""
-    missing = sum((F.col(c).isNull().cast("int") for c in features), F.lit(0))
-    tagged = df.withColumn("n_missing", missing)
-    return tagged.where(F.col("n_missing") == 0).drop("n_missing"), tagged.where(F.col("n_missing") > 0)
+
+def split_records(df: DataFrame, features: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(complete records, rejected ones with the names of the ``missing`` fields)."""
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in features]))
+    tagged = df.withColumn("missing", missing)
+    return tagged.where(F.size("missing") == 0).drop("missing"), tagged.where(F.size("missing") > 0)
 
 
 def start_scoring(spark: SparkSession, model: PipelineModel, features: list[str], landing: str,
                   sink: str, checkpoint: str, key: str = "account_id", available_now: bool = True):
+    """Two queries over the landing folder: scores to ``sink``, rejects to ``<sink>-rejects``."""
     from ..models.train import score_frame
     stream = spark.readStream.schema(request_schema(features, key)).json(landing)
-    complete, _ = split_complete(stream, features)
-    scored = score_frame(model, complete, key)
-    w = (scored.writeStream.format("parquet").option("path", sink)
-               .option("checkpointLocation", checkpoint).outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    complete, rejected = split_records(parse_records(stream, features, key), features)
+
+    def start(df: DataFrame, path: str, state: str):
+        w = (df.writeStream.format("parquet").option("path", path)
+               .option("checkpointLocation", state).outputMode("append"))
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+        return w.start()
+
+    return Both(start(score_frame(model, complete, key), sink, checkpoint),
+                start(rejected.select(key, "missing"), f"{sink}-rejects", f"{checkpoint}-rejects"))
+
+
+class Both:
+    """The scoring and the reject query, awaited and stopped together."""
+
+    def __init__(self, *queries):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
 
 
 def score_stream(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
-    """Fit, land the test-fold records as JSON requests, stream-score them, read the sink."""
-    from ..models.train import LEAK_COLUMNS, Trainer
+    """Land the test-fold records as JSON requests, stream-score them with the scorer, read the sink."""
+    from ..models.train import Trainer
     t = Trainer(spark, sf_dir, w)
-    r = t.fit_gbt(exclude=LEAK_COLUMNS)
+    _, model, features = t.scorer()
     base = os.path.join(checkpoint_dir(spark), "stream", uuid.uuid4().hex[:8])
     landing, sink, ckpt = (os.path.join(base, p) for p in ("landing", "sink", "checkpoint"))
-    t.test.select("account_id", *r.features).write.mode("overwrite").json(landing)
-    q = start_scoring(spark, r.model, r.features, landing, sink, ckpt)
-    q.awaitTermination()
+    t.test.select("account_id", *features).write.mode("overwrite").json(landing)
+    start_scoring(spark, model, features, landing, sink, ckpt).awaitTermination()
     return spark.read.parquet(sink)

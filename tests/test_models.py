@@ -13,15 +13,32 @@ def trainer(spark):
     return Trainer(spark, "/root/testdata/sf0.01", params=ModelParams(forest_trees=20, gbt_iter=20))
 
 
-def test_planted_signal_beats_baseline(spark):
-    from lapse.models.train import gbt, with_weights
-    rows = [(i, float(i % 100), float((i * 7) % 13), int(i % 100 > 80)) for i in range(2000)]
+def test_planted_signal_on_held_out_rows(spark):
+    from lapse.models.train import evaluate, fit_early_stopped, with_weights
+    rows = [(i, float((i * 37) % 100), float((i * 7) % 13), int((i * 37) % 100 > 80)) for i in range(3000)]
     df = spark.createDataFrame(rows, "account_id long, x double, z double, churned int")
-    df = with_weights(df, df).withColumn("is_validation", F.col("account_id") % 5 == 0)
-    m = gbt(["x", "z"], ModelParams(gbt_iter=10)).fit(df)
-    from lapse.models.train import evaluate
-    auc = evaluate(positive_probability(m, df)).first().roc_auc
-    assert auc > 0.95
+    df = with_weights(df, df).cache()
+    part = F.col("account_id") % 3
+    m = fit_early_stopped(["x", "z"], df.where(part == 0), df.where(part == 1), ModelParams(gbt_iter=40, gbt_first=20))
+    assert evaluate(positive_probability(m, df.where(part == 2))).first().roc_auc > 0.95
+
+
+def test_best_round_with_patience():
+    from lapse.models.train import best_round
+    assert best_round([5, 4, 3, 3, 3, 3], 3) == (3, True)
+    assert best_round([5, 4, 3, 3.5, 2.9], 3) == (5, False)
+    assert best_round([5, 4, 3, 3.5, 3.4, 3.3, 1], 3) == (3, True)
+    assert best_round([1], 20) == (1, False)
+
+
+def test_doubling_finds_the_round_of_one_long_fit(spark, trainer):
+    from lapse.models.train import best_round, fit_early_stopped, gbt
+    feats = trainer.features
+    p = ModelParams(gbt_iter=24, gbt_first=6, gbt_patience=4)
+    long = gbt(feats, p).fit(trainer.fit_part)
+    losses = long.stages[-1].evaluateEachIteration(long.stages[0].transform(trainer.valid))
+    short = fit_early_stopped(feats, trainer.fit_part, trainer.valid, p)
+    assert len(short.stages[-1].trees) == best_round(losses, 4)[0]
 
 
 def test_trainer_folds_disjoint(trainer):
@@ -31,8 +48,8 @@ def test_trainer_folds_disjoint(trainer):
 
 
 def test_save_load_score_and_stream_equal_batch(spark, trainer):
-    r = trainer.fit_gbt()
-    loaded = load_model(save_model(r.model, model_path(spark, "t")))
+    name, model, features = trainer.scorer()
+    loaded = load_model(save_model(model, model_path(spark, "t")))
     batch = {(x.account_id, x.churn_probability, x.risk_tier) for x in score_frame(loaded, trainer.test).collect()}
     assert len(batch) == trainer.test.count()
     import os
@@ -41,8 +58,8 @@ def test_save_load_score_and_stream_equal_batch(spark, trainer):
     from lapse.session import checkpoint_dir
     from lapse.streaming.scoring import start_scoring
     base = os.path.join(checkpoint_dir(spark), "stream-test", uuid.uuid4().hex[:8])
-    trainer.test.select("account_id", *r.features).write.json(base + "/landing")
-    q = start_scoring(spark, r.model, r.features, base + "/landing", base + "/sink", base + "/ckpt")
+    trainer.test.select("account_id", *features).write.json(base + "/landing")
+    q = start_scoring(spark, model, features, base + "/landing", base + "/sink", base + "/ckpt")
     q.awaitTermination()
     stream = {(x.account_id, x.churn_probability, x.risk_tier) for x in spark.read.parquet(base + "/sink").collect()}
     assert stream == batch
@@ -76,7 +93,36 @@ def test_model_queries_rows(spark, name):
     assert df.count() >= 1
 
 
-def test_stream_rejects_incomplete_records(spark, trainer):
+def test_scorer_is_calibrated(trainer):
+    """The mean score of the test fold is near its base rate, tiers follow the calibrated column."""
+    from lapse.functions.columns import risk_tier
+    _, model, features = trainer.scorer()
+    scored = model.transform(trainer.test)
+    mean, rate = scored.agg(F.avg("calibrated"), F.avg(F.col("churned").cast("double"))).first()
+    assert abs(mean - rate) < 0.05
+    want = {(r.risk_tier, r["count"]) for r in scored.select(risk_tier("calibrated").alias("risk_tier")).groupBy("risk_tier").count().collect()}
+    assert {(r.risk_tier, r["count"]) for r in score_frame(model, trainer.test).groupBy("risk_tier").count().collect()} == want
+
+
+def test_record_edges(spark):
+    """Booleans, numbers and numeric text are accepted; missing and unusable fields are named."""
+    from lapse.streaming.scoring import parse_records, request_schema, split_records
+    features = ["has_loan", "amount", "frequency_A"]
+    records = ['{"account_id": 1, "has_loan": true, "amount": 2.5, "frequency_A": 1}',
+               '{"account_id": 2, "has_loan": 0, "amount": "7"}',
+               '{"account_id": 3, "has_loan": false}',
+               '{"account_id": 4, "amount": "junk", "has_loan": "NaN", "extra": [1]}',
+               '{"account_id": 5, "has_loan": null, "amount": 1}']
+    df = spark.read.schema(request_schema(features)).json(spark.sparkContext.parallelize(records))
+    good, bad = split_records(parse_records(df, features), features)
+    assert {tuple(r) for r in good.collect()} == {(1, 1.0, 2.5, 1.0), (2, 0.0, 7.0, 0.0)}
+    assert {r.account_id: r.missing for r in bad.collect()} == {3: ["amount"], 4: ["has_loan", "amount"], 5: ["has_loan"]}
+    # a batch frame without a column at all
+    good, bad = split_records(parse_records(spark.createDataFrame([(9, True)], "account_id long, has_loan boolean"), features), features)
+    assert good.count() == 0 and bad.first().missing == ["amount"]
+
+
+def test_stream_sends_incomplete_records_to_the_reject_sink(spark, trainer):
     import os
     import uuid
 
@@ -84,14 +130,16 @@ def test_stream_rejects_incomplete_records(spark, trainer):
     from lapse.streaming.scoring import start_scoring
     r = trainer.fit_gbt()
     base = os.path.join(checkpoint_dir(spark), "stream-rej", uuid.uuid4().hex[:8])
-    recs = trainer.test.select("account_id", *r.features).limit(5)
-    broken = recs.withColumn(r.features[0], F.when(F.col("account_id") % 2 == 0, F.lit(None)).otherwise(F.col(r.features[0])))
+    first = next(c for c in r.features if not c.startswith("frequency_"))
+    recs = trainer.test.select("account_id", *r.features).limit(9)
+    broken = recs.withColumn(first, F.when(F.col("account_id") % 2 != 0, F.col(first)))
     broken.write.json(base + "/landing")
-    q = start_scoring(spark, r.model, r.features, base + "/landing", base + "/sink", base + "/ckpt")
-    q.awaitTermination()
+    start_scoring(spark, r.model, r.features, base + "/landing", base + "/sink", base + "/ckpt").awaitTermination()
     got = {x.account_id for x in spark.read.parquet(base + "/sink").collect()}
-    expect = {x.account_id for x in broken.where(F.col(r.features[0]).isNotNull()).collect()}
-    assert got == expect
+    rejects = {x.account_id: x.missing for x in spark.read.parquet(base + "/sink-rejects").collect()}
+    everything = {x.account_id for x in broken.collect()}
+    assert got == {x.account_id for x in broken.where(F.col(first).isNotNull()).collect()}
+    assert set(rejects) == everything - got and all(m == [first] for m in rejects.values())
 
 
 def test_stream_restart_processes_only_new_files(spark, trainer):
