@@ -16,10 +16,6 @@ def semi_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
     return df.join(members.select(key), key, "left_semi")
 
 
-def anti_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    return df.join(members.select(key), key, "left_anti")
-
-
 def existence_flag(spine: DataFrame, events: DataFrame, key: str, name: str) -> DataFrame:
     """spine + ``name`` = 1 if the key has at least one event, else 0."""
     keys = events.select(key).distinct().withColumn("_hit", F.lit(1))

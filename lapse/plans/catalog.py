@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..models import train
 from ..streaming import scoring
-from . import cleaning, dataset, features, labels, metrics
+from . import cleaning, dataset, features, labels, metrics, roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
+        **{f.__name__: f for f in (
+            roundtrip.scan_delimited, roundtrip.scan_comma, roundtrip.rewrite_by_year, roundtrip.sink_roundtrip,
+            roundtrip.runs_roundtrip, roundtrip.best_of_two, roundtrip.isotonic_scores, roundtrip.isotonic_gain)},
         "window_split_counts": labels.window_split_counts,
         "eligible_accounts": labels.eligible_accounts,
         "ratio_threshold": labels.ratio_threshold,

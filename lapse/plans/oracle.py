@@ -122,6 +122,8 @@ def all_sql(w: Windows = WINDOWS) -> dict[str, str]:
     out.update(label_sql(w))
     from . import oracle_more  # noqa: WPS433 (kept separate to keep this file readable)
     out.update(oracle_more.more_sql(w))
+    from . import oracle_roundtrip
+    out.update(oracle_roundtrip.roundtrip_sql(w))
     return out
 
 

@@ -24,9 +24,6 @@ LOAN_SCHEMA = T.StructType([
     T.StructField("date", T.StringType()), T.StructField("amount", T.LongType()),
     T.StructField("duration", T.IntegerType()), T.StructField("payments", T.DecimalType(10, 2)),
     T.StructField("status", T.StringType())])
-ACCOUNT_SCHEMA = T.StructType([
-    T.StructField("account_id", T.LongType()), T.StructField("district_id", T.IntegerType()),
-    T.StructField("frequency", T.StringType()), T.StructField("date", T.StringType())])
 TRANS_SCHEMA = T.StructType([
     T.StructField("trans_id", T.LongType()), T.StructField("account_id", T.LongType()),
     T.StructField("date", T.StringType()), T.StructField("type", T.StringType()),
@@ -42,7 +39,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
                    header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
     """Header + separator + quotes, typed by the declared schema."""
     return (spark.read.schema(schema).option("sep", sep).option("header", header)
-                 .option("quote", '"').option("mode", mode).csv(path))
+                 .option("quote", '"').option("escape", '"').option("mode", mode).csv(path))
 
 
 def read_headerless_text(spark: SparkSession, path: str, names: Sequence[str], sep: str = ";") -> DataFrame:
