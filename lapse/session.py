@@ -63,6 +63,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+# Called with (name, frame) before a frame is written; scripts/plans.py reports these plans.
+MATERIALIZE_HOOKS: list = []
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and
     read it back (lineage cut, survives executor loss).
@@ -73,6 +77,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     they use, with filters pushed into the scan.
     """
     spark = df.sparkSession
+    for hook in MATERIALIZE_HOOKS:
+        hook(name, df)
     path = scratch_table(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
