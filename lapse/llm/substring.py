@@ -6,9 +6,10 @@
 2. ``confirm``: windows with a recurring seed are counted by 96 bits of hash
    over their whole word sequence; a recurring one gets the smallest doc_id it
    starts in.
-3. ``locate``: each block of documents compiles the confirmed windows that its
-   documents need into an automaton over word codes (so a match is the whole
-   word sequence, not a hash) and streams all its documents through it.
+3. ``locate``: each block of documents compiles the passages (runs of confirmed
+   windows) that its documents need into an automaton over word codes (so a
+   match is the whole word sequence, not a hash) and streams all its documents
+   through it.
 
 Documents are dealt into blocks by a hash of id and text, so automata stay of
 one size and a document meets one automaton, whatever the number of phrases.
@@ -266,71 +267,87 @@ def _confirm(table: pa.Table) -> pa.Table:
 
 
 class Automaton:
-    """Aho-Corasick automaton over word sequences.
+    """Aho-Corasick automaton over passages: runs of words in which every window is confirmed.
 
-    A word of a pattern is coded by two characters from two alphabets, so codes
-    can't be read out of step and the fan-out of a node stays small; other words
-    get a code that no pattern has.
+    A passage comes with the least doc_id of each of its windows.  A word of a
+    passage is coded by two characters from two alphabets, so codes can't be
+    read out of step and the fan-out of a node stays small; other words get a
+    code that no passage has.
     """
 
     OTHER = "\x01\x02"
 
-    def __init__(self, patterns: Iterator[tuple[list[bytes], int]], window: int):
+    def __init__(self, passages: Iterator[tuple[list[bytes], np.ndarray]], window: int):
         self.window = window
-        patterns = list(patterns)
-        vocabulary = sorted({w for p, _ in patterns for w in p})
+        passages = list(passages)
+        vocabulary = sorted({w for p, _ in passages for w in p})
         base = int(np.ceil(np.sqrt(len(vocabulary)))) + 1
         # characters from the plane above surrogates, two alphabets
         self.code = {w: chr(0x10000 + i // base) + chr(0x10000 + base + i % base) for i, w in enumerate(vocabulary)}
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for words, value in patterns:
-            self.machine.add_word("".join(map(self.code.__getitem__, words)), value)
-        if patterns:
+        self.least: list[tuple[np.ndarray, int]] = []       # of each passage: per window, and the largest
+        for words, least in passages:
+            passage = "".join(map(self.code.__getitem__, words))
+            if passage not in self.machine:
+                self.machine.add_word(passage, len(self.least))
+                self.least.append((least, int(least.max())))
+        if passages:
             self.machine.make_automaton()
 
     def covered(self, words: list[bytes], doc: int) -> np.ndarray:
-        """Mask of the words inside any pattern that starts in a smaller document."""
+        """Mask of the words inside any window of a passage that starts in a smaller document."""
         mask = np.zeros(len(words) + 1, np.int64)
         if self.code:
             other = self.OTHER
             text = "".join([self.code.get(w, other) for w in words])
-            for end, least in self.machine.iter(text):
-                if least < doc:
-                    last = end // 2
-                    mask[last - self.window + 1] += 1
-                    mask[last + 1] -= 1
+            for end, number in self.machine.iter(text):
+                least, most = self.least[number]
+                stop = end // 2 + 1
+                begin = stop - len(least) - self.window + 1
+                if most < doc:
+                    mask[begin] += 1
+                    mask[stop] -= 1
+                else:
+                    at = begin + np.flatnonzero(least < doc)
+                    mask[at] += 1
+                    mask[at + self.window] -= 1
         return np.cumsum(mask[:-1]) > 0
 
 
-def _needed_patterns(table: pa.Table, texts: list[bytes], window: int) -> Iterator[tuple[list[bytes], int]]:
-    """(words, least doc_id) of the confirmed windows of one block, read from its own texts."""
+def _needed_passages(table: pa.Table, ids: np.ndarray, texts: list[bytes], window: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The passages that the documents of one block share with smaller ones, read from its own texts."""
     long, short, least = _column(table, "long").view(np.uint64), _column(table, "short").view(np.uint32), _column(table, "least")
     if not len(long):
         return
     order = np.lexsort((short, long))
     long, short, least = long[order], short[order], least[order]
-    done = np.zeros(len(long), bool)
-    for _, chunk in chunks(texts, window):
+    for begin, chunk in chunks(texts, window):
         a, b = chunk.hashes(np.arange(len(chunk.starts)))
         at = np.searchsorted(long, a)
-        hit = np.flatnonzero(long[np.minimum(at, len(long) - 1)] == a)
-        for k in hit.tolist():
-            p = int(at[k])
-            while p < len(long) and long[p] == a[k]:       # equal 64 bits: compare the other 32
-                if short[p] == b[k] and not done[p]:
-                    done[p] = True
-                    d = int(chunk.doc[k])
-                    i = int(chunk.starts[k] - chunk.first[d])
-                    yield chunk.words[d][i:i + window], int(least[p])
-                p += 1
+        first = np.full(len(a), NO_ID)
+        open_ = np.flatnonzero(at < len(long))
+        while len(open_):                               # more than once only if 64 bits are equal and 32 aren't
+            open_ = open_[long[at[open_]] == a[open_]]
+            equal = short[at[open_]] == b[open_]
+            first[open_[equal]] = least[at[open_[equal]]]
+            open_ = open_[~equal]
+            at[open_] += 1
+            open_ = open_[at[open_] < len(long)]
+        hit = np.flatnonzero(first < ids[begin + chunk.doc])
+        cuts = np.flatnonzero((np.diff(chunk.starts[hit]) != 1) | (np.diff(chunk.doc[hit]) != 0)) + 1
+        for run in np.split(hit, cuts):
+            if len(run):
+                d = int(chunk.doc[run[0]])
+                i = int(chunk.starts[run[0]] - chunk.first[d])
+                yield chunk.words[d][i:i + len(run) + window - 1], first[run]
 
 
 def _locate(window: int):
-    """Per block: compile the needed windows, stream all documents, keep the words that none covers."""
+    """Per block: compile the needed passages, stream all documents, keep the words that none covers."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, times, texts = _unpack_texts(table)
-        machine = Automaton(_needed_patterns(table, texts, window), window)
+        machine = Automaton(_needed_passages(table, ids, texts, window), window)
         rows = []
         for doc, n, text in zip(ids.tolist(), times.tolist(), texts):
             words = text.split()

@@ -68,11 +68,18 @@ def test_small_chunks(monkeypatch, spark):
 
 
 def test_automaton_matches_words_not_parts():
-    a = substring.Automaton(iter([([b"a", b"b"], 1), ([b"b", b"a"], 3)]), 2)
+    a = substring.Automaton(iter([([b"a", b"b"], np.array([1])), ([b"b", b"a"], np.array([3]))]), 2)
     assert a.covered([b"a", b"b", b"a", b"ab", b"b"], 2).tolist() == [True, True, False, False, False]
     assert a.covered([b"a", b"b", b"a", b"ab", b"b"], 4).tolist() == [True, True, True, False, False]
 
 
+def test_passage_covers_only_windows_of_smaller_documents():
+    a = substring.Automaton(iter([([b"a", b"b", b"c", b"d"], np.array([1, 7, 2]))]), 2)
+    assert a.covered([b"x", b"a", b"b", b"c", b"d"], 5).tolist() == [False, True, True, True, True]
+    assert a.covered([b"x", b"a", b"b", b"c", b"d"], 2).tolist() == [False, True, True, False, False]
+    assert a.covered([b"a", b"b", b"c"], 9).tolist() == [False, False, False]
+
+
 def test_documents_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
