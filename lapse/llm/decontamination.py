@@ -164,7 +164,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of a test text occurs, unchanged."""
     others = [c for c in docs.columns if c != "text"]
-    keyed = with_key(docs).select("dkey", "text", F.struct(*others).alias("row"))
+    keyed = docs.select(F.struct(*others).alias("row"), "text", F.col("doc_id").alias("id"))
+    keyed = with_key(keyed, "id").drop("id")
     clean = phrase_matches(keyed, test_texts(items)[0], size).where("size(hits) = 0")
     return clean.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 

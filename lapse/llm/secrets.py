@@ -13,7 +13,7 @@ positions come from the lengths of matches and of the gaps between them, one
 pass over each list.
 
 Defined cases: null text counts as empty; a text without matches has empty
-spans; tokens of any length are scored whole; method spans that overlap a fixed
+spans; columns named base_spans and spans are replaced; tokens of any length are scored whole; method spans that overlap a fixed
 span are not added; repeated rows are scanned alike; empty tables give no rows
 (the model is then uniform and reports nothing).
 """

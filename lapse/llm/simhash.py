@@ -66,8 +66,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, rid, fp): fingerprints as signed longs; ``rid`` is kept if given."""
-    keep = [c for c in ("doc_id", "rid") if c in docs.columns]
+    """(doc_id, _rid, fp): fingerprints as signed longs; the row number ``_rid`` is kept if given."""
+    keep = [c for c in ("doc_id", "_rid") if c in docs.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,7 +280,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                     node_rows: int = NODE_ROWS) -> DataFrame:
-    """(doc_id, rid if given, fp, component_id) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, _rid if given, fp, component_id) of every row of ``docs`` (doc_id, text)."""
     rows = materialize(with_fingerprint(docs, shingle), "fingerprints")
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinctfps")
     sets = components(near_links(fps.select("fp"), distance, node_rows)).withColumnRenamed("node", "fp")
@@ -293,14 +293,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of each component: the smallest doc_id, the first of repeated rows."""
     columns = docs.columns
-    numbered = docs.withColumn("rid", F.monotonically_increasing_id())
-    rows = near_duplicates(numbered.select("doc_id", "rid", "text"), shingle, distance)
+    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
+    rows = near_duplicates(numbered.select("doc_id", "_rid", "text"), shingle, distance)
     # null ids come last; a component without any id keeps its first row
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_rid")
     group = F.when(F.col("component_id").isNotNull(), F.struct(F.lit(0).alias("k"), F.col("component_id").alias("v"))).otherwise(
         F.struct(F.lit(1).alias("k"), F.col("fp").alias("v")))
-    first = rows.groupBy(group.alias("g")).agg(F.min(order)["rid"].alias("rid"))
-    return numbered.join(first.select("rid"), "rid", "left_semi").select(*columns)
+    first = rows.groupBy(group.alias("g")).agg(F.min(order)["_rid"].alias("_rid"))
+    return numbered.join(first.select("_rid"), "_rid", "left_semi").select(*columns)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

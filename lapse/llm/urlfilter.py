@@ -15,7 +15,7 @@ host is part of the range key, so a suffix like ``com`` is spread over tasks.
 
 Defined cases: null URLs and those without ``://`` have empty host and path;
 of two fitting rules the longer text wins, then the longer host; of equal rules
-``block`` wins; rules with a null host, path or action are ignored; URLs without
+``block`` wins; columns named host, path, rule and verdict are replaced; rules with a null host, path or action are ignored; URLs without
 a rule get the default verdict; repeated rows are judged alike; empty tables of
 URLs give no rows, empty tables of rules give the default.
 """
@@ -107,11 +107,11 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT
              .withColumn("r", F.element_at("open", -1))
              .groupBy("host", "path")
              .agg(F.max(F.struct(F.length(F.concat("r.host", "r.path")).alias("n"), F.length("r.host").alias("h"),
-                                 F.concat("r.host", "r.path").alias("rule"), F.col("r.action").alias("action"))).alias("won")))
+                                 F.concat("r.host", "r.path").alias("rule"), F.col("r.action").alias("action"))).alias("_won")))
     return (urls.join(found, ["host", "path"], "left")
-            .withColumn("rule", F.col("won.rule"))
-            .withColumn("verdict", F.coalesce(F.col("won.action"), F.lit(default)))
-            .drop("won"))
+            .withColumn("rule", F.col("_won.rule"))
+            .withColumn("verdict", F.coalesce(F.col("_won.action"), F.lit(default)))
+            .drop("_won"))
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

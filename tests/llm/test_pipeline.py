@@ -106,11 +106,14 @@ def test_edge_rows_pass_every_stage(spark, tmp_path):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (None, "some words without id", None, "s", 3),
             (5, "x " * 60_000, "en", None, 120_000), (6, "token = abcdefghijklmnop", "en", "s", 24)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("dkey", F.lit(1))
+    docs = docs.withColumn("rid", F.lit("kept"))
     for start in (docs, docs.where("source = 'none'")):
         now, n = start, []
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
             now = stage(spark, now, str(tmp_path))
             n.append(now.count())
+            if name != "best_fit_packing":
+                assert {(r["dkey"], r["rid"]) for r in now.collect()} <= {(1, "kept")} and now.columns == start.columns
         assert n[0] == start.count() and n[-1] >= n[-2] == n[1]
     one = simhash.keep_one(docs)
     assert sorted(str(r["doc_id"]) for r in one.collect()) == ["1", "5", "6", "None"]

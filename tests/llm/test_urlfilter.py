@@ -46,7 +46,7 @@ NESTED = [("org", "/", "allow"), ("org", "/es/", "block"), ("example.org", "/",
 
 @pytest.mark.parametrize("rules", [FIXED, NESTED])
 def test_matches_brute_force(spark, rules):
-    pages = spark.createDataFrame(list(enumerate(urls())), "page_id long, url string").selectExpr("*", "1 AS verdict", "2 AS rule").drop("verdict", "rule")
+    pages = spark.createDataFrame(list(enumerate(urls())), "page_id long, url string").selectExpr("*", "1 AS verdict", "2 AS rule", "3 AS won", "4 AS host")
     table = spark.createDataFrame(rules, "host string, path string, action string")
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urlfilter.judge_urls(pages, table).collect()}
     assert got == {i: brute(u, rules) for i, u in enumerate(urls())}
