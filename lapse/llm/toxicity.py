@@ -33,12 +33,13 @@ from lapse.llm import training
 from lapse.llm.common import read_table
 
 THRESHOLD = 0.3
-WINDOW_WORDS = 16
-STRIDE_WORDS = 8            # windows overlap, so no segment is only at an edge
+WINDOW_WORDS = 12
+STRIDE_WORDS = 6            # windows overlap, so no segment is only at an edge
 GRAM = 5
 LOG_ODDS = 3.5
-EVIDENCE = 30.0            # least log-likelihood statistic of a gram, so that chance or a few copies don't make one
+EVIDENCE = 36.0            # least log-likelihood statistic of a gram, so that chance or a few copies don't make one
 GAIN = 2                    # a window counts from this many bytes on
+ANCHOR_BYTES = 200          # of the common words, after every window: a short window alone may be stored as it is
 BASE_BYTES = 40_000
 TOXIC_BYTES = 24_000
 CALIBRATION = 4             # every fourth row of the sample calibrates
@@ -114,7 +115,7 @@ class Distance:
         parameters = zstandard.ZstdCompressionParameters.from_level(
             6, strategy=zstandard.STRATEGY_LAZY2, min_match=GRAM, write_content_size=False, write_checksum=False,
             write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
-        self.packers = []
+        self.packers, self.anchor = [], model["plain"][-ANCHOR_BYTES:]
         for content in (model["plain"], model["toxic"] + model["plain"]):
             dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             dictionary.precompute_compress(compression_params=parameters)
@@ -122,7 +123,7 @@ class Distance:
 
     def features(self, text: str | None) -> tuple[float, float, float]:
         plain, toxic = self.packers
-        gains = [len(plain(w)) - len(toxic(w)) for w in windows(text)]
+        gains = [len(plain(w)) - len(toxic(w)) for w in (x + self.anchor for x in windows(text))]
         return (float(min(12, max(gains))), float(np.log1p(sum(g for g in gains if g >= GAIN))), float(np.log(len(gains))))
 
 
