@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +80,14 @@ def logreg(features: list[str], n_fit: int, p: ModelParams = PARAMS) -> Pipeline
     return Pipeline(stages=[assembler(features), lr])
 
 
+def logreg_scaled(features: list[str], n_fit: int, p: ModelParams = PARAMS) -> Pipeline:
+    """M3, the unweighted variant on standardized features."""
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
+    lr = LogisticRegression(featuresCol="scaled", labelCol=LABEL, maxIter=p.logreg_iter, regParam=1.0 / max(n_fit, 1),
+                            elasticNetParam=0.0, standardization=False)
+    return Pipeline(stages=[assembler(features), scaler, lr])
+
+
 def forest(features: list[str], p: ModelParams = PARAMS) -> Pipeline:
     """M4: balanced random forest."""
     rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL, weightCol="w_balanced",
@@ -175,6 +183,10 @@ class Trainer:
         return self._result("logistic_regression", logreg(self.features, self.n_fit, self.params).fit(self.non_test),
                             self.features)
 
+    def fit_logreg_scaled(self) -> FitResult:
+        return self._result("logistic_regression_scaled", logreg_scaled(self.features, self.n_fit, self.params).fit(self.non_test),
+                            self.features)
+
     def fit_forest(self) -> FitResult:
         return self._result("random_forest", forest(self.features, self.params).fit(self.non_test), self.features)
 
@@ -209,6 +221,11 @@ def model_logreg(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> Data
     return _metrics_row(r.name, r.test_scores)
 
 
+def model_logreg_scaled(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
+    r = Trainer(spark, sf_dir, w).fit_logreg_scaled()
+    return _metrics_row(r.name, r.test_scores)
+
+
 def model_forest(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     r = Trainer(spark, sf_dir, w).fit_forest()
     return _metrics_row(r.name, r.test_scores)
@@ -272,6 +289,22 @@ def calibrated_scores(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) ->
                       risk_tier("calibrated").alias("risk_tier"))
 
 
+def model_threshold_sweep(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
+    """A18 on the booster's raw and calibrated test scores."""
+    from ..plans.metrics import sweep
+    cal = materialize(calibrated_scores(spark, sf_dir, w), "calibrated")
+    parts = [sweep(cal, p=c, y=LABEL).withColumn("scores", F.lit(c)) for c in ("raw", "calibrated")]
+    return parts[0].unionByName(parts[1])
+
+
+def model_calibration_bins(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
+    """V8 on the booster's raw and calibrated test scores."""
+    from ..plans.metrics import calibration_bins_of
+    cal = materialize(calibrated_scores(spark, sf_dir, w), "calibrated")
+    parts = [calibration_bins_of(cal, p=c, y=LABEL).withColumn("scores", F.lit(c)) for c in ("raw", "calibrated")]
+    return parts[0].unionByName(parts[1])
+
+
 def calibration_gain(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """AUC and Brier of raw vs calibrated scores, one grouped pass."""
     cal = calibrated_scores(spark, sf_dir, w)

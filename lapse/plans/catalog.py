@@ -85,6 +85,9 @@ def queries() -> dict[str, Query]:
         "linear_attribution": metrics.linear_attribution,
         # Spark ML (rows-only checks)
         "model_logreg": train.model_logreg,
+        "model_logreg_scaled": train.model_logreg_scaled,
+        "model_threshold_sweep": train.model_threshold_sweep,
+        "model_calibration_bins": train.model_calibration_bins,
         "model_forest": train.model_forest,
         "model_gbt": train.model_gbt,
         "ablation": train.ablation,

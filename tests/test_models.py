@@ -87,7 +87,8 @@ def test_permutation_keeps_values(spark):
     assert moved > 150
 
 
-@pytest.mark.parametrize("name", ["model_logreg", "ablation", "calibration_gain", "feature_importance"])
+@pytest.mark.parametrize("name", ["model_logreg", "model_logreg_scaled", "ablation", "calibration_gain", "feature_importance", "model_threshold_sweep",
+                                  "model_calibration_bins"])
 def test_model_queries_rows(spark, name):
     df = E.queries()[name](spark, "/root/testdata/sf0.001")
     assert df.count() >= 1
