@@ -40,9 +40,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Of the others SQL has neither the hashes, the models, the components nor the packing; op3 is too slow in it."""
+    """Of the others SQL has neither the hashes, the models, the components nor the packing."""
     return {
         "op2_decontamination": decontamination.OP2_SQL,
+        "op3_substring_dedup": substring.OP3_SQL,
         "op4_warc": warc.OP4_SQL,
         "op9_url_filters": urlfilter.OP9_SQL,
     }

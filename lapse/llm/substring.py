@@ -388,3 +388,22 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words removed from every document, and the digest of what is left."""
     kept = remove_repeats(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT rid, doc_id, s, array_to_string(list_slice(w, s + 1, s + 13), ' ') AS k
+  FROM (SELECT rid, doc_id, w, unnest(range(0, len(w) - 12)) AS s FROM d WHERE len(w) >= 13)),
+least_id AS (SELECT k, min(doc_id) AS first FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT rid, unnest(range(s, s + 13)) AS p FROM win JOIN least_id ON win.k = least_id.k WHERE first < doc_id),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM d),
+left_over AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM words ANTI JOIN gone ON words.rid = gone.rid AND words.p = gone.p GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over ON d.rid = left_over.rid
+"""
