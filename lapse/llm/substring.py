@@ -14,8 +14,9 @@
 Documents are dealt into blocks by a hash of id and text, so automata stay of
 one size and a document meets one automaton, whatever the number of phrases.
 Hashes travel as arrays, one row for each bucket that a batch has something
-for, each hash once per block: a phrase that a third of the documents share is
-one entry per block.  Blocks and buckets grow in number with the text.
+for.  A phrase that a third of the documents share is one entry per batch among
+the seeds and one per block among the windows.  Blocks and buckets grow in
+number with the text.
 
 Defined cases: null and empty texts have no words; texts shorter than a window
 lose nothing; rows with one doc_id don't take words from each other; a null
@@ -107,7 +108,7 @@ def _block(doc: int, text: bytes, blocks: int) -> int:
     return xxhash.xxh64_intdigest(text, seed=xxhash.xxh32_intdigest(str(doc))) % blocks
 
 
-def _spread(where: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+def _spread(where: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, row numbers) of the buckets that have rows."""
     order = np.argsort(where, kind="stable")
     edges = np.flatnonzero(np.append(True, where[order][1:] != where[order][:-1])) if len(where) else []
@@ -120,7 +121,8 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-SEED_ROWS = pa.schema([("bucket", pa.int32()), ("seed", pa.list_(pa.int64())), ("tag", pa.list_(pa.int32()))])
+SHARED = -1         # instead of a block: the batch has told its blocks
+SEED_ROWS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("seed", pa.list_(pa.int64())), ("tag", pa.list_(pa.int32()))])
 NEED_ROWS = pa.schema([("block", pa.int32()), ("seed", pa.list_(pa.int64()))])
 WINDOW_ROWS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("long", pa.list_(pa.int64())),
                          ("short", pa.list_(pa.int32())), ("least", pa.list_(pa.int64())), ("many", pa.list_(pa.bool_()))])
@@ -137,52 +139,61 @@ def _ddl(schema: pa.Schema) -> str:
 
 
 def _seeds(window: int, blocks: int, buckets: int):
-    """Map: the distinct seeds of a batch by bucket; tag is 2 * block, + 1 if two of its documents share the seed."""
+    """Map: the distinct seeds of a batch.
+
+    A seed that two documents of the batch share is known to recur: its blocks
+    are told right away, and its bucket gets one entry for the whole batch, so
+    a phrase that a third of all documents share is one entry per batch there.
+    Any other seed is an entry of its bucket with its block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = _ids(batch["doc_id"]), _bytes(batch["text"])
-            rows = []
+            parts = []
             for begin, chunk in chunks(texts, window):
                 seed, doc = chunk.seeds(), chunk.doc
                 fresh = np.append(True, (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1])) if len(seed) else np.zeros(0, bool)
-                seed, doc = seed[fresh], doc[fresh] + begin
-                block = np.fromiter((_block(int(i), t, blocks) for i, t in zip(ids[begin:], chunk_texts(texts, begin, chunk))),
-                                    np.int64, len(chunk.words))[doc - begin]
-                order = np.lexsort((ids[doc], block, seed))
-                seed, block, doc = seed[order], block[order], ids[doc[order]]
-                new = np.append(True, (seed[1:] != seed[:-1]) | (block[1:] != block[:-1])) if len(seed) else np.zeros(0, bool)
-                heads = np.flatnonzero(new)
-                if not len(heads):
-                    continue
-                shared = np.maximum.reduceat(doc, heads) != doc[heads]
-                seed, tag = seed[heads], (2 * block[heads] + shared).astype(np.int32)
-                for bucket, at in _spread((mix(seed) % np.uint64(buckets)).astype(np.int64), buckets):
-                    rows.append((bucket, seed[at].view(np.int64), tag[at]))
+                parts.append((seed[fresh], doc[fresh] + begin))
+            seed, row = (np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            if not len(seed):
+                continue
+            block = np.fromiter((_block(int(i), t, blocks) for i, t in zip(ids, texts)), np.int64, len(texts))[row]
+            order = np.lexsort((block, seed))
+            seed, block, doc = seed[order], block[order], ids[row[order]]
+            heads = np.flatnonzero(np.append(True, seed[1:] != seed[:-1]))
+            shared = np.maximum.reduceat(doc, heads) != np.minimum.reduceat(doc, heads)
+            first, tag = seed[heads], np.where(shared, SHARED, block[heads]).astype(np.int32)
+            rows = []
+            for bucket, at in _spread((mix(first) % np.uint64(buckets)).astype(np.int64)):
+                rows.append((bucket, None, first[at].view(np.int64), tag[at]))
+            told = np.repeat(shared, np.diff(np.append(heads, len(seed))))
+            seed = seed[told]
+            for b, at in _spread(block[told]):
+                rows.append((b % buckets, b, np.unique(seed[at]).view(np.int64), None))
             yield _rows(SEED_ROWS, rows)
 
     return run
 
 
-def chunk_texts(texts: list[bytes], begin: int, chunk: Chunk) -> list[bytes]:
-    return texts[begin:begin + len(chunk.words)]
-
-
 def _column(table: pa.Table, name: str) -> np.ndarray:
     return table[name].combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
 
 def _recurring_seeds(table: pa.Table) -> pa.Table:
-    """Reduce: of one bucket, the seeds that more than one document has, for each block that has them."""
-    seed, tag = _column(table, "seed"), _column(table, "tag")
+    """Reduce: of one bucket, the seeds that recur, for each block that has them; what blocks were told goes on."""
+    told = table.filter(table["block"].is_valid())
+    rows = [(b.as_py(), s.values.to_numpy()) for b, s in zip(told["block"], told["seed"])]
+    open_ = table.filter(table["block"].is_null())
+    seed, tag = _column(open_, "seed"), _column(open_, "tag")
     order = np.argsort(seed, kind="stable")
     seed, tag = seed[order], tag[order]
     heads = np.flatnonzero(np.append(True, seed[1:] != seed[:-1])) if len(seed) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(heads, len(seed)))
-    many = (sizes > 1) | (np.bitwise_or.reduceat(tag & 1, heads) > 0) if len(heads) else np.zeros(0, bool)
-    keep = np.repeat(many, sizes)
-    seed, block = seed[keep], tag[keep] >> 1
-    return pa.Table.from_batches([_rows(NEED_ROWS, [(b, np.unique(seed[at])) for b, at in _spread(block, 0)])])
+    many = np.repeat(sizes > 1, sizes) & (tag != SHARED)        # an entry per batch: two are two documents
+    seed, block = seed[many], tag[many]
+    rows += [(b, np.unique(seed[at])) for b, at in _spread(block)]
+    return pa.Table.from_batches([_rows(NEED_ROWS, rows)])
 
 
 def _pack_texts(window: int, blocks: int):
@@ -241,7 +252,7 @@ def _windows(window: int, buckets: int):
             heads = np.flatnonzero(np.append(True, (long[1:] != long[:-1]) | (short[1:] != short[:-1])))
             many = np.maximum.reduceat(doc, heads) != doc[heads]
             long, short, doc = long[heads], short[heads], doc[heads]
-            for bucket, at in _spread((mix(long) % np.uint64(buckets)).astype(np.int64), buckets):
+            for bucket, at in _spread((mix(long) % np.uint64(buckets)).astype(np.int64)):
                 rows.append((bucket, block, long[at].view(np.int64), short[at].view(np.int32), doc[at], many[at]))
         return pa.Table.from_batches([_rows(WINDOW_ROWS, rows)])
 
@@ -261,7 +272,7 @@ def _confirm(table: pa.Table) -> pa.Table:
     take = (least > first) | many
     rows = []
     block, long, short, first = block[take], long[take], short[take], first[take]
-    for b, at in _spread(block, 0):
+    for b, at in _spread(block):
         rows.append((b, long[at], short[at], first[at]))
     return pa.Table.from_batches([_rows(FOUND_ROWS, rows)])
 
