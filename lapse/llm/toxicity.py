@@ -5,9 +5,12 @@ toxic one also holds the segments that mark toxic text: runs of character
 ``GRAM``-grams whose share of toxic documents is far above their share of
 ordinary ones.  A text is cut into windows of words; a window that compresses
 better with the toxic dictionary holds some of those segments, in whatever
-word.  The largest and the summed gain, and the number of windows, give the
-score by a logistic calibration on labelled rows that the dictionaries have
-not seen, shifted to the classes' true proportion.
+word.  Words that ordinary text has too, but not again and again, are known by
+their rate: stems are beginnings of words that toxic documents repeat and that
+are far more frequent in them, each with the log of how much.  The largest and
+the summed gain, the summed weight of the stems, and the number of windows give
+the score by a logistic calibration on labelled rows that dictionaries and
+stems have not seen, shifted to the classes' true proportion.
 
 The fit uses at most ``training.ROWS_PER_CLASS`` labelled rows of each class;
 every text is scored whole, window by window, in Arrow batches without a
@@ -38,6 +41,11 @@ STRIDE_WORDS = 6            # windows overlap, so no segment is only at an edge
 GRAM = 5
 LOG_ODDS = 3.5
 EVIDENCE = 36.0            # least log-likelihood statistic of a gram, so that chance or a few copies don't make one
+STEM_BYTES = range(4, 9)
+STEM_ODDS = 2.0
+STEM_EVIDENCE = 24.0
+STEM_TIMES = 2              # a document repeats a stem from this many words on
+STEM_MOST = 8               # words of one document that count for the rate of a stem
 GAIN = 2                    # a window counts from this many bytes on
 ANCHOR_BYTES = 200          # of the common words, after every window: a short window alone may be stored as it is
 BASE_BYTES = 40_000
@@ -63,14 +71,17 @@ def grams(words: set[bytes]) -> set[bytes]:
     return {w[i:i + GRAM] for w in (b" " + x + b" " for x in words) for i in range(max(1, len(w) - GRAM + 1))}
 
 
-def marks_toxic(n: int, toxic: int, m: int, plain: int) -> bool:
+def log_odds(n: int, toxic: int, m: int, plain: int) -> float:
+    return float(np.log((n + 0.5) / (toxic + 1)) - np.log((m + 0.5) / (plain + 1)))
+
+
+def marks_toxic(n: int, toxic: int, m: int, plain: int, least_odds: float = LOG_ODDS, evidence: float = EVIDENCE) -> bool:
     """Whether a gram in ``n`` toxic and ``m`` ordinary documents is far commoner in toxic ones, beyond chance."""
-    odds = np.log((n + 0.5) / (toxic + 1)) - np.log((m + 0.5) / (plain + 1))
-    if odds <= LOG_ODDS:
+    if log_odds(n, toxic, m, plain) <= least_odds:
         return False
     share = (n + m) / (toxic + plain)
     statistic = 2 * (n * np.log(n / (toxic * share)) + (m * np.log(m / (plain * share)) if m else 0.0))
-    return statistic >= EVIDENCE
+    return statistic >= evidence
 
 
 def toxic_segments(texts: list[tuple[str, int]]) -> Counter:
@@ -97,6 +108,28 @@ def toxic_segments(texts: list[tuple[str, int]]) -> Counter:
     return found
 
 
+def toxic_stems(texts: list[tuple[str, int]]) -> dict[bytes, float]:
+    """Beginnings of words that toxic documents repeat, with the log ratio of their rates per word."""
+    repeated, often, docs, words = [Counter(), Counter()], [Counter(), Counter()], [0, 0], [0, 0]
+    for text, y in sorted(set(texts)):
+        seen: Counter = Counter()
+        for word, n in Counter(words_of(text)).items():
+            words[y] += n
+            for size in STEM_BYTES:
+                if size <= len(word):
+                    seen[word[:size]] += n
+        docs[y] += 1
+        repeated[y].update(s for s, n in seen.items() if n >= STEM_TIMES)
+        for stem, n in seen.items():
+            often[y][stem] += min(n, STEM_MOST)
+    stems = {}
+    for stem, n in repeated[1].items():
+        rate = log_odds(often[1][stem], words[1], often[0][stem], words[0])
+        if rate > STEM_ODDS and marks_toxic(n, docs[1], repeated[0][stem], docs[0], STEM_ODDS, STEM_EVIDENCE):
+            stems[stem] = rate
+    return stems
+
+
 def _content(parts: Counter, size: int, glue: bytes) -> bytes:
     """The most frequent parts that fit, the most frequent last: near content is cheapest to refer to."""
     chosen, used = [], 0
@@ -116,15 +149,23 @@ class Distance:
             6, strategy=zstandard.STRATEGY_LAZY2, min_match=GRAM, write_content_size=False, write_checksum=False,
             write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
         self.packers, self.anchor = [], model["plain"][-ANCHOR_BYTES:]
+        self.stems = model["stems"]
+        self.heads = {s[:STEM_BYTES[0]] for s in self.stems}
         for content in (model["plain"], model["toxic"] + model["plain"]):
             dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             dictionary.precompute_compress(compression_params=parameters)
             self.packers.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters).compress)
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
+    def stem_weight(self, text: str | None) -> float:
+        """Sum over the words of the largest weight of their stems."""
+        stems, heads, head = self.stems, self.heads, STEM_BYTES[0]
+        return sum(max(stems.get(w[:n], 0.0) for n in STEM_BYTES) for w in words_of(text) if w[:head] in heads) if stems else 0.0
+
+    def features(self, text: str | None) -> tuple[float, float, float, float]:
         plain, toxic = self.packers
         gains = [len(plain(w)) - len(toxic(w)) for w in (x + self.anchor for x in windows(text))]
-        return (float(min(12, max(gains))), float(np.log1p(sum(g for g in gains if g >= GAIN))), float(np.log(len(gains))))
+        return (float(min(12, max(gains))), float(np.log1p(sum(g for g in gains if g >= GAIN))),
+                float(np.log1p(self.stem_weight(text))), float(np.log(len(gains))))
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None) -> dict | None:
@@ -138,7 +179,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None) ->
     for text, y in fitted:
         if not y:
             common.update(words_of(text))
-    model = {"plain": _content(common, BASE_BYTES, b" "), "toxic": _content(toxic_segments(fitted), TOXIC_BYTES, b"")}
+    model = {"plain": _content(common, BASE_BYTES, b" "), "toxic": _content(toxic_segments(fitted), TOXIC_BYTES, b""),
+             "stems": toxic_stems(fitted)}
     distance = Distance(model)
     x, y = np.array([distance.features(t) for t, _ in rest]), np.array([y for _, y in rest], float)
     model["weights"] = training.fit_logistic(x, y).tolist()

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +77,39 @@ def test_windows_cover_every_word():
         words = [f"w{i}" for i in range(n)]
         seen = {w for x in toxicity.windows(" ".join(words)) for w in x.decode().split()}
         assert seen == set(words)
+
+
+def test_repeated_words_mark_toxic_texts():
+    """Ordinary texts have each such word too, but once: only its rate tells."""
+    rng = random.Random(4)
+    texts = []
+    for i in range(1200):
+        words = ["".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(100, 300))]
+        toxic = int(i % 6 == 0)
+        for _ in range(rng.randint(4, 9) if toxic else rng.random() < 0.3):
+            words.insert(rng.randint(0, len(words)), "braspo" + rng.choice(SYLLABLES))
+        texts.append((" ".join(words), toxic))
+    stems = toxicity.toxic_stems(texts[:800])
+    assert b"braspo" in stems and all(s.startswith(b"bras") for s in stems)
+    model = {"plain": b" ".join(toxicity.words_of(texts[1][0])), "toxic": b"", "stems": stems}
+    distance = toxicity.Distance(model)
+    x = np.array([distance.features(t) for t, _ in texts])
+    y = np.array([y for _, y in texts], float)
+    weights = toxicity.training.fit_logistic(x[600:800], y[600:800])
+    found = [toxicity.training.sigmoid(f @ weights[:-1] + weights[-1]) >= 0.3 for f in x[800:]]
+    assert sum(f for f, k in zip(found, y[800:]) if k) >= 0.95 * y[800:].sum()
+    assert sum(f for f, k in zip(found, y[800:]) if not k) <= 0.03 * (1 - y[800:]).sum()
+
+
+def test_every_language_is_found(spark):
+    """Held-out recall of each language of sf0.1, whose non-English toxic texts repeat words of ordinary ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train(docs, labels, ~held)
+    truth = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    scored = toxicity.score(docs.where(held), model).join(truth, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rate = {(r["lang"], r["toxic"]): r["rate"] for r in scored.groupBy("lang", "toxic").agg(
+        F.avg((F.col("score") >= toxicity.THRESHOLD).cast("double")).alias("rate")).collect()}
+    for lang in ("en", "de", "fr", "es"):
+        assert rate[lang, 1] >= 0.9 and rate[lang, 0] <= 0.1, rate
