@@ -22,6 +22,7 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,6 +38,7 @@ CAPACITY = 2048
 END_ID = 0
 RANK_BUCKETS = 256
 SPECIAL = {"<|endoftext|>": 50256}      # fixed value of the vocabulary
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
 _ENCODERS: dict = {}
 
 
@@ -59,9 +61,33 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
+def _ids(text: str, path: str) -> np.ndarray:
+    return encoder(path).encode_to_numpy(text, allowed_special="all", disallowed_special=())
+
+
+def _ids_around_runs(text: str, path: str) -> np.ndarray:
+    """Ids of a text whose runs of white space are too long for the pattern's backtracking.
+
+    As the pattern has it, such a run is one piece, without its last character
+    if other text than a special token follows; what is between runs has no
+    match that reaches into them.
+    """
+    parts, at = [], 0
+    for run in LONG_RUN.finditer(text):
+        begin, end = run.span()
+        if end < len(text) and not text.startswith(tuple(SPECIAL), end):
+            end -= 1
+        parts += [_ids(text[at:begin], path), encoder(path)._encode_single_piece(text[begin:end])]
+        at = end
+    return np.concatenate([*parts, _ids(text[at:], path)])
+
+
 def encode(text: str | None, path: str) -> np.ndarray:
     """Ids of the whole text and the end id."""
-    ids = encoder(path).encode_to_numpy(text or "", allowed_special="all", disallowed_special=())
+    try:
+        ids = _ids(text or "", path)
+    except ValueError:                  # about a million characters of white space in a row
+        ids = _ids_around_runs(text, path)
     return np.append(ids, END_ID).astype("<u4")
 
 

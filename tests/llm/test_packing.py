@@ -84,3 +84,11 @@ def test_ids_equal_tokenizers_on_documents():
     path = packing.vocabulary_path()
     for text in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist():
         assert packing.encode(text, path).tolist() == reference.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+def test_runs_of_over_a_million_spaces():
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    path, n = packing.vocabulary_path(), 1_000_100
+    for text in (" " * n, "\n" * n, "a" + " " * n + "b  c", "it's\n" + "\n" * n + "'s x", "　 \t" * (n // 3 + 1) + "1",
+                 "x" + " " * n + "<|endoftext|>" + "\n" * n + "\x1c y" + " \n" * n + "!", "a" + " " * 200_000 + "b" + " " * n):
+        assert packing.encode(text, path).tolist() == reference.encode(text, add_special_tokens=False).ids + [0]
