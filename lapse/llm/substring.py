@@ -141,8 +141,8 @@ def _ddl(schema: pa.Schema) -> str:
 def _seeds(window: int, blocks: int, buckets: int):
     """Map: the distinct seeds of a batch.
 
-    A seed that two documents of the batch share is known to recur: its blocks
-    are told right away, and its bucket gets one entry for the whole batch, so
+    A seed that two documents of the batch share is known to recur, and one in
+    rows of one doc_id in several blocks may: its blocks are told right away, and its bucket gets one entry for the whole batch, so
     a phrase that a third of all documents share is one entry per batch there.
     Any other seed is an entry of its bucket with its block.
     """
@@ -162,7 +162,8 @@ def _seeds(window: int, blocks: int, buckets: int):
             order = np.lexsort((block, seed))
             seed, block, doc = seed[order], block[order], ids[row[order]]
             heads = np.flatnonzero(np.append(True, seed[1:] != seed[:-1]))
-            shared = np.maximum.reduceat(doc, heads) != np.minimum.reduceat(doc, heads)
+            # an entry has one block, so rows of one id in several blocks are told as well
+            shared = np.logical_or(*(np.maximum.reduceat(x, heads) != np.minimum.reduceat(x, heads) for x in (doc, block)))
             first, tag = seed[heads], np.where(shared, SHARED, block[heads]).astype(np.int32)
             rows = []
             for bucket, at in _spread((mix(first) % np.uint64(buckets)).astype(np.int64)):

@@ -86,3 +86,18 @@ def test_documents_table(spark, sf_dir):
     got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"])
                   for r in substring.remove_repeats(docs, block_bytes=1 << 16).collect()), key=str)
     assert got == brute(rows, 13)
+
+
+def test_rows_of_one_id_in_several_blocks(spark):
+    """Rows without an id in one batch, in several blocks; the smaller document is in another partition."""
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(None, f"{passage} " + " ".join(f"t{k}x{i}" for i in range(30))) for k in range(12)]
+    rows += [(7, f"{passage} and " + " ".join(f"s{k}x{i}" for i in range(30))) for k in range(12)]
+    blocks = 1 + sum(len(t) for _, t in [*rows, (5, passage)]) // 1000
+    assert len({substring._block(substring.NO_ID, t.encode(), blocks) for _, t in rows[:12]}) > 1
+    rows += [(5, passage), *((50 + k, "") for k in range(11))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"])
+                  for r in substring.remove_repeats(docs, block_bytes=1000).collect()), key=str)
+    want = brute(rows, 13)
+    assert got == want and sum(r[2] == 20 for r in want) == 24
