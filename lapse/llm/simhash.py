@@ -293,7 +293,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of each component: the smallest doc_id, the first of repeated rows."""
     columns = docs.columns
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
+    # written once: both uses must see the same numbers, which depend on how a scan is split
+    numbered = materialize(docs.withColumn("_rid", F.monotonically_increasing_id()), "rownumbers")
     rows = near_duplicates(numbered.select("doc_id", "_rid", "text"), shingle, distance)
     # null ids come last; a component without any id keeps its first row
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_rid")

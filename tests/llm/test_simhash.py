@@ -125,3 +125,26 @@ def test_documents_edges(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "8", "None"]
     assert simhash.near_duplicates(docs.where("doc_id < 0")).count() == 0
+
+
+def test_keep_one_when_scans_are_split_anew(spark, tmp_path, monkeypatch):
+    """Files are packed into other partitions after the fingerprints are written, as when executors come or go."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 60)) for _ in range(64)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts[:32])]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(16).write.parquet(path)
+    found = simhash.near_duplicates
+
+    def near_duplicates(*args):
+        out = found(*args)
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        return out
+
+    monkeypatch.setattr(simhash, "near_duplicates", near_duplicates)
+    spark.conf.set("spark.sql.files.minPartitionNum", "16")
+    try:
+        kept = sorted(r["doc_id"] for r in simhash.keep_one(spark.read.parquet(path)).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert kept == list(range(64))
