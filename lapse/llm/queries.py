@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lapse.llm import (decontamination, packing, quality, secrets, sharding, simhash, substring, toxicity, urlfilter,
-                       warc)
+from lapse.llm import (decontamination, importance, packing, quality, secrets, sharding, simhash, substring, toxicity,
+                       urlfilter, warc)
 from lapse.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": packing.op8_packing,
         "op9_url_filters": urlfilter.op9_url_filters,
         "op10_secret_scan": secrets.op10_secret_scan,
+        "op11_importance_resampling": importance.op11_importance_resampling,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}
@@ -46,4 +47,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_substring_dedup": substring.OP3_SQL,
         "op4_warc": warc.OP4_SQL,
         "op9_url_filters": urlfilter.OP9_SQL,
+        "op11_importance_resampling": importance.OP11_SQL,
     }
