@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from lapse.llm import (decontamination, importance, packing, quality, secrets, sharding, simhash, substring, toxicity,
-                       urlfilter, warc)
+                       urlfilter, warc, whitening)
 from lapse.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op9_url_filters": urlfilter.op9_url_filters,
         "op10_secret_scan": secrets.op10_secret_scan,
         "op11_importance_resampling": importance.op11_importance_resampling,
+        "op12_whitening": whitening.op12_whitening,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}
