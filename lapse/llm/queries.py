@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lapse.llm import (decontamination, importance, packing, quality, secrets, sharding, simhash, substring, toxicity,
-                       urlfilter, warc, whitening)
+from lapse.llm import (decontamination, factorisation, importance, packing, quality, secrets, sharding, simhash,
+                       substring, toxicity, urlfilter, warc, whitening)
 from lapse.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op10_secret_scan": secrets.op10_secret_scan,
         "op11_importance_resampling": importance.op11_importance_resampling,
         "op12_whitening": whitening.op12_whitening,
+        "op13_quality_classifier": factorisation.op13_quality_classifier,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}
