@@ -7,6 +7,7 @@ so model metrics are computed the same way as the SQL-checked metrics.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from dataclasses import dataclass
@@ -119,7 +120,7 @@ def fit_early_stopped(features: list[str], train: DataFrame, valid: DataFrame, p
 
     The first rounds of a longer fit are those of a shorter one (same seed), so
     fits of doubling length up to ``gbt_iter`` rounds find the round that one
-    fit of ``gbt_iter`` rounds would, and the last fit ends there.
+    fit of ``gbt_iter`` rounds would, and the last fit is cut there.
     """
     rounds = min(p.gbt_first, p.gbt_iter)
     while True:
@@ -127,10 +128,32 @@ def fit_early_stopped(features: list[str], train: DataFrame, valid: DataFrame, p
         losses = model.stages[-1].evaluateEachIteration(model.stages[0].transform(valid))
         best, stopped = best_round(losses, p.gbt_patience)
         if stopped or rounds == p.gbt_iter:
-            return model if best == rounds else gbt(features, p, best).fit(train)
+            return truncated(train.sparkSession, model, best)
         rounds = min(2 * rounds, p.gbt_iter)
 
 
+def truncated(spark: SparkSession, model: PipelineModel, k: int) -> PipelineModel:
+    """``model`` with the first ``k`` trees of its booster: a shorter fit without fitting.
+
+    The booster is saved, its node and tree tables are filtered, and the tables
+    are loaded as a model of ``k`` trees.
+    """
+    booster = model.stages[-1]
+    n = booster.getNumTrees
+    if not 0 < k <= n:
+        raise ValueError(f"{k} of {n} trees")
+    if k == n:
+        return model
+    whole, cut = model_path(spark, "whole"), model_path(spark, "cut")
+    booster.write().overwrite().save(whole)
+    about = json.loads(spark.read.text(f"{whole}/metadata").first()[0])
+    about["numTrees"] = k
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{cut}/metadata")
+    spark.read.parquet(f"{whole}/treesMetadata").where(F.col("_1") < k).write.parquet(f"{cut}/treesMetadata")
+    spark.read.parquet(f"{whole}/data").where(F.col("treeID") < k).write.parquet(f"{cut}/data")
+    return PipelineModel(stages=[*model.stages[:-1], type(booster).load(cut)])
+
+
 def positive_probability(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
     return model.transform(df).withColumn(out, vector_to_array(F.col("probability"))[1])
 
@@ -170,7 +193,11 @@ class Trainer:
         self.fit_part = self.frame.where(F.col("fold") == "train")
         self.valid = self.frame.where(F.col("fold") == "validation")
         self.test = self.frame.where(F.col("fold") == "test")
-        self.n_fit = self.non_test.count()
+        columns = self.frame.columns
+        # one pass: rows to fit on, and a digest of all rows
+        self.n_fit, n, digest = self.frame.agg(F.count(F.when(F.col("fold") != "test", 1)), F.count(F.lit(1)),
+                                               F.sum(F.xxhash64(*columns).cast("decimal(20,0)"))).first()
+        self.content = (tuple(columns), n, str(digest))
 
     def _result(self, name, model, feats) -> FitResult:
         return FitResult(name, model, feats, positive_probability(model, self.test))
@@ -193,8 +220,10 @@ class Trainer:
     def fit_gbt(self, exclude: tuple = ()) -> FitResult:
         feats = [c for c in self.features if c not in exclude]
         name = "gbt" if not exclude else "gbt_without_" + "_".join(exclude)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.w, tuple(sorted(vars(self.params).items())), name)
-        if key not in _FITS:        # one fit per session, table set and parameters: many queries use the same
+        key = (self.spark.sparkContext.applicationId, self.content, tuple(sorted(vars(self.params).items())), name)
+        if key not in _FITS:        # one fit per session, training rows and parameters: many queries use the same
+            while len(_FITS) >= FITS_KEPT:
+                _FITS.pop(next(iter(_FITS)))
             _FITS[key] = fit_early_stopped(feats, self.fit_part, self.valid, self.params)
         return self._result(name, _FITS[key], feats)
 
@@ -208,6 +237,7 @@ class Trainer:
 
 
 _FITS: dict = {}
+FITS_KEPT = 8
 
 
 # --- queries (rows-only checks: model fits are not SQL) ----------------------------

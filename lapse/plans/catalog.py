@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..models import train
+from ..models import attribution, train
 from ..streaming import scoring
 from . import cleaning, dataset, features, labels, metrics, roundtrip
 
@@ -95,6 +95,8 @@ def queries() -> dict[str, Query]:
         "calibration_gain": train.calibration_gain,
         "feature_importance": train.feature_importance,
         "permutation_importance": train.permutation_importance,
+        "tree_attribution": attribution.tree_attribution,
+        "tree_attribution_rows": attribution.tree_attribution_rows,
         "score_batch": train.score_batch,
         "run_metrics": train.run_metrics,
         "best_run": train.best_run,
