@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..config import LEAKAGE_TOLERANCE, SEED, WINDOWS, Windows
 from ..functions.columns import is_score, risk_tier, round_prob
 from ..operators.curves import ap_from_curve, auc_from_curve, score_curve
+from ..operators.isotonic import isotonic_blocks
 from ..operators.prefix import running_totals
 from ..plans.dataset import design_matrix, feature_columns, split_frame
 from ..session import checkpoint_dir, materialize
@@ -283,18 +284,19 @@ def ablation(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS, leak: tuple
                         .otherwise(F.lit("columns contribute")).alias("verdict"))
 
 
-def isotonic_fit(scored: DataFrame, score: str = "score") -> DataFrame:
-    """Distinct-score pooling (exact for isotonic regression: ties are averaged
-    with weights anyway), so the PAV merge on the driver sees pooled points."""
-    return (scored.groupBy(F.col(score).alias("s"))
-                  .agg(F.avg(F.col(LABEL).cast("double")).alias("y"), F.count(F.lit(1)).cast("double").alias("wt")))
+def isotonic_points(scored: DataFrame, score: str = "score") -> DataFrame:
+    """(s, y, wt): both ends of every block of the distributed fit."""
+    ends = F.when(F.col("low") < F.col("high"), F.array("low", "high")).otherwise(F.array("low"))
+    return isotonic_blocks(scored, score, LABEL).withColumn("ends", ends).select(
+        F.explode("ends").alias("s"), (F.col("ones") / F.col("n")).alias("y"), (F.col("n") / F.size("ends")).alias("wt"))
 
 
 def calibrator(scored_fit_rows: DataFrame, score: str = "score"):
-    pooled = isotonic_fit(scored_fit_rows, score)
+    """M7 as a Spark ML stage.  The regression itself is done by ``operators.isotonic``; the
+    stage is fitted on the ends of its blocks, which rise already, so nothing but they reaches the driver."""
     iso = IsotonicRegression(featuresCol="s", labelCol="y", weightCol="wt", isotonic=True,
                              predictionCol="calibrated")
-    return iso.fit(pooled)
+    return iso.fit(isotonic_points(scored_fit_rows, score))
 
 
 def calibrate(iso_model, scored: DataFrame, score: str = "score", out: str = "calibrated") -> DataFrame:

@@ -161,3 +161,40 @@ def test_profile_and_null_census(spark):
     assert p.std == pytest.approx(1.290994, abs=1e-6)
     nc = {r.column: r.n_null for r in null_census(df).collect()}
     assert nc == {"a": 0, "b": 2}
+
+
+def _written(spark, make):
+    """Rows of each table that ``make`` writes on its way, by name."""
+    from lapse import session
+    seen = []
+    hook = lambda name, df: seen.append((name, df.count()))
+    session.MATERIALIZE_HOOKS.append(hook)
+    try:
+        return make(), dict(seen)
+    finally:
+        session.MATERIALIZE_HOOKS.remove(hook)
+
+
+@pytest.mark.parametrize("name, expr, most", [
+    ("spread", "exp(rand(3) * 12)", 0.01), ("normal", "randn(4) * 100", 0.01), ("one value", "7.25D", 1e-4),
+    ("hot value", "if(rand(5) < 0.4, 5.0D, rand(6) * 10)", 0.01), ("outlier", "if(id = 7, 1e300D, rand(7))", 0.01),
+    ("one bucket", "1 + rand(8) / 1e6", 1.0)])
+def test_only_brackets_are_ranked(spark, name, expr, most):
+    """What is written and sorted is a small part of the values, unless all lie in one bucket."""
+    n = 40_000
+    df = spark.range(n, numPartitions=4).selectExpr("id", f"CAST({expr} AS double) AS x")
+    qs = [0.0, 0.1, 0.5, 0.75, 1.0]
+    got, written = _written(spark, lambda: {r.q: r.value for r in quantiles(df, "x", qs).collect()})
+    x = np.sort(np.array([r.x for r in df.collect()]))
+    for q in qs:
+        assert got[q] == pytest.approx(np.quantile(x, q), rel=1e-12)
+    assert written["ranged"] <= max(1, most * len(set(x.tolist()))) and written["brackets"] <= 2 * len(qs)
+
+
+def test_buckets_rise(spark):
+    from lapse.operators.quantile import bucket_of
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=300) * 10.0 ** rng.integers(-300, 300, 300), [0.0, -0.0, 5e-324, -5e-324, 1.7e308, float("inf"), float("-inf"), 1.0, 2.0]])
+    df = spark.createDataFrame([(float(v),) for v in np.sort(x)], "x double")
+    b = [r[0] for r in df.select(bucket_of(F.col("x"))).collect()]
+    assert b == sorted(b) and None not in b
