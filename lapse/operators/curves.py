@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .prefix import running_totals
 
 
@@ -57,3 +58,20 @@ def ap_from_curve(curve: DataFrame, group_cols: Sequence[str] = (), alias: str =
 
 def roc_auc(df: DataFrame, score: str, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     return auc_from_curve(score_curve(df, score, label, group_cols), group_cols)
+
+
+def corners(curve: DataFrame) -> DataFrame:
+    """The points of an ungrouped ``score_curve`` at which its direction changes, and the last one.
+
+    A point between two steps of one direction lies on the line of its
+    neighbours, so leaving it out changes neither the curve nor its area.
+    Directions are compared as whole-number products.  A point's next step is
+    the one that starts at its count of rows: a join on a number that is unique
+    on either side, whatever the partitions.
+    """
+    c = materialize(curve, "curve")
+    step = c.select((F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg")).alias("_start"),
+                    F.col("pos").alias("_pos"), F.col("neg").alias("_neg"))
+    wide = lambda x: F.col(x).cast("decimal(19,0)")
+    straight = F.coalesce(wide("pos") * wide("_neg") == wide("_pos") * wide("neg"), F.lit(False))
+    return (c.join(step, F.col("tp") + F.col("fp") == F.col("_start"), "left").where(~straight).select(*c.columns))

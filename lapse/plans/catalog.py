@@ -16,7 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         **{f.__name__: f for f in (
-            roundtrip.scan_delimited, roundtrip.scan_comma, roundtrip.rewrite_by_year, roundtrip.sink_roundtrip,
+            roundtrip.scan_delimited, roundtrip.scan_comma, roundtrip.rewrite_by_year, roundtrip.rewrite_by_account,
+            roundtrip.sink_roundtrip,
             roundtrip.runs_roundtrip, roundtrip.best_of_two, roundtrip.isotonic_scores, roundtrip.isotonic_gain)},
         "window_split_counts": labels.window_split_counts,
         "eligible_accounts": labels.eligible_accounts,
@@ -39,6 +40,7 @@ def queries() -> dict[str, Query]:
         "bridge_holders": features.bridge_holders,
         "product_flags": features.product_flags,
         "product_flags_asof": features.product_flags_asof,
+        "product_flags_asof_row": features.product_flags_asof_row,
         "join_key_audit": features.join_key_audit,
         "dimension_enrich": features.dimension_enrich,
         "feature_table": features.feature_table,
@@ -77,6 +79,7 @@ def queries() -> dict[str, Query]:
         "average_precision": metrics.average_precision,
         "brier": metrics.brier,
         "roc_points": metrics.roc_points,
+        "roc_points_reduced": metrics.roc_points_reduced,
         "pr_points": metrics.pr_points,
         "confusion_matrix": metrics.confusion_matrix,
         "classification_report": metrics.classification_report,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import WINDOWS, Windows
 from ..functions.columns import annual_rate, tenure_days as tenure_expr
+from ..operators.asof import asof_join
 from ..operators.membership import bridge_keys, existence_flag, key_audit, semi_members
 from ..sources.tables import (accounts, cards, dispositions, districts, loans, standing_orders_src,
                               transactions)
@@ -124,6 +125,20 @@ def product_flags_asof(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -
     return _flags(accounts(spark, sf_dir).select("account_id"), spark, sf_dir, w.obs_end_lit)
 
 
+ASOF_DAYS = 365         # an account's cut-off: so long after its first transaction
+
+
+def product_flags_asof_row(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
+    """J8 with a cut-off for each account: the last loan and card order up to it."""
+    opened = account_activity(transactions(spark, sf_dir), w).select("account_id", F.date_add("open_date", ASOF_DAYS).alias("cut_off"))
+    spine = accounts(spark, sf_dir).select("account_id").join(opened, "account_id", "left")
+    carded = semi_members(dispositions(spark, sf_dir), cards(spark, sf_dir).select("disp_id"), "disp_id")
+    out = asof_join(spine, loans(spark, sf_dir), "account_id", "cut_off", "d", {"loan_id": "last_loan_id", "d": "last_loan_date"}, ["loan_id"])
+    out = asof_join(out, carded, "account_id", "cut_off", "d", {"disp_id": "last_card_disp", "d": "last_card_date"}, ["disp_id"])
+    return out.select("account_id", "cut_off", F.col("last_loan_id").isNotNull().cast("int").alias("has_loan"), "last_loan_id", "last_loan_date",
+                      F.col("last_card_disp").isNotNull().cast("int").alias("has_card"), "last_card_disp", "last_card_date")
+
+
 def join_key_audit(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """Right bridge path vs the mismatched-key path (account_id compared to disp_id)."""
     dsp = dispositions(spark, sf_dir)

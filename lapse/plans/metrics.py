@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import SWEEP_THRESHOLDS, WINDOWS, Windows
 from ..functions.columns import is_score, risk_tier, round_prob
-from ..operators.curves import ap_from_curve, auc_from_curve, score_curve
+from ..operators.curves import ap_from_curve, auc_from_curve, corners, score_curve
 from ..operators.quantile import quantile_array
 from ..session import materialize
 from .dataset import scored_table, split_frame
@@ -172,6 +172,11 @@ def roc_points(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFr
     return roc_points_of(score_curve(_sc(spark, sf_dir, w), "p", "y"))
 
 
+def roc_points_reduced(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
+    """V6 without the points that lie on a line with both neighbours."""
+    return roc_points_of(corners(score_curve(_sc(spark, sf_dir, w), "p", "y")))
+
+
 def pr_points(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """V7: (precision, recall) per distinct score, plus (recall 0, precision 1)."""
     return pr_points_of(score_curve(_sc(spark, sf_dir, w), "p", "y"))

@@ -213,6 +213,10 @@ SELECT round(sum(CAST(pos AS DOUBLE) / "P" * (CAST(tp AS DOUBLE) / (tp + fp))),
         "brier": sc + "\nSELECT round(avg(power(p - y, 2)), 10) AS brier, count(*) FILTER (WHERE p IS NULL) AS unscored FROM sc",
         "roc_points": sc + _curve_cte() + """
 SELECT s AS threshold, round(fp / "N", 10) AS fpr, round(tp / "P", 10) AS tpr FROM c
+UNION ALL SELECT NULL, 0.0, 0.0""",
+        "roc_points_reduced": sc + _curve_cte() + """,
+n AS (SELECT *, lead(pos) OVER (ORDER BY s DESC) AS p2, lead(neg) OVER (ORDER BY s DESC) AS n2 FROM c)
+SELECT s AS threshold, round(fp / "N", 10) AS fpr, round(tp / "P", 10) AS tpr FROM n WHERE p2 IS NULL OR pos * n2 <> p2 * neg
 UNION ALL SELECT NULL, 0.0, 0.0""",
         "pr_points": sc + _curve_cte() + """
 SELECT s AS threshold, round(tp / (tp + fp), 10) AS precision, round(tp / "P", 10) AS recall FROM c

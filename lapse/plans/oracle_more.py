@@ -82,6 +82,17 @@ SELECT account_id,
        CAST(account_id IN (SELECT account_id FROM loan_h) AS INTEGER) AS has_loan,
        CAST(account_id IN (SELECT account_id FROM card_h) AS INTEGER) AS has_card
 FROM acct""",
+        "product_flags_asof_row": """
+WITH tx AS (SELECT o_orderkey AS id, o_custkey AS account_id, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS priority FROM orders),
+cut AS (SELECT c_custkey AS account_id, (SELECT min(d) FROM tx WHERE tx.account_id = c_custkey) + 365 AS cut_off FROM customer),
+carded AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 48),
+loan AS (SELECT c.account_id, arg_max(id, (d, id)) AS id, max(d) AS d FROM cut c JOIN tx ON tx.account_id = c.account_id AND d <= cut_off
+         WHERE priority = '1-URGENT' GROUP BY c.account_id),
+card AS (SELECT c.account_id, arg_max(id, (d, id)) AS id, max(d) AS d FROM cut c JOIN tx ON tx.account_id = c.account_id AND d <= cut_off
+         WHERE id IN (SELECT id FROM carded) GROUP BY c.account_id)
+SELECT cut.account_id, cut_off, CAST(loan.id IS NOT NULL AS INTEGER) AS has_loan, loan.id AS last_loan_id, loan.d AS last_loan_date,
+       CAST(card.id IS NOT NULL AS INTEGER) AS has_card, card.id AS last_card_disp, card.d AS last_card_date
+FROM cut LEFT JOIN loan ON loan.account_id = cut.account_id LEFT JOIN card ON card.account_id = cut.account_id""",
         "product_flags_asof": "WITH x AS (SELECT 1)" + fe_asof + """
 SELECT account_id,
        CAST(account_id IN (SELECT account_id FROM loan_h) AS INTEGER) AS has_loan,

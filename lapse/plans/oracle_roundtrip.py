@@ -37,6 +37,10 @@ SELECT c_custkey AS account_id, c_name || '; "' || CAST(c_custkey AS VARCHAR) ||
         "rewrite_by_year": """
 SELECT o_orderkey AS order_id, o_custkey AS account_id, CAST(o_orderdate AS DATE) AS date_parsed, o_orderstatus AS status,
        CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders WHERE year(o_orderdate) = 1998""",
+        "rewrite_by_account": """
+SELECT c_custkey AS account_id, c_mktsegment AS segment, count(o_orderkey) AS n_orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount_sum, max(CAST(o_orderdate AS DATE)) AS last_date
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL""",
         "sink_roundtrip": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
         "runs_roundtrip": sc + _TWO + "\nSELECT run_name, metric, value, params FROM runs",
         "best_of_two": sc + _TWO + """

@@ -7,6 +7,8 @@ text and the header line is rejected because its id does not cast.
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,3 +80,17 @@ def rewrite_partitioned(df: DataFrame, path: str, date_col: str = "date_parsed")
     rebalance gathers small years and splits large ones over several tasks."""
     (df.withColumn("year", F.year(date_col)).hint("rebalance", "year")
        .write.mode("overwrite").partitionBy("year").parquet(path))
+
+
+def rewrite_bucketed(df: DataFrame, path: str, key: str, buckets: int, sort: list[str] | None = None) -> DataFrame:
+    """S2 by account: a table bucketed and sorted by ``key`` under ``path``, and its reader.
+
+    Tables written with the same number of buckets are grouped by the key and
+    joined on it without an exchange.  Rows go to their bucket's task first, so
+    a bucket is one file.  The table is named after its path; a key that holds
+    most rows still fills one bucket, for which the layout by year is the better.
+    """
+    name = "lapse_" + re.sub(r"\W", "_", path.rstrip("/").rsplit("/", 1)[-1])
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+       .bucketBy(buckets, key).sortBy(*(sort or [key])).saveAsTable(name))
+    return df.sparkSession.table(name)
