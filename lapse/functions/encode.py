@@ -4,16 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def levels_of(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct levels of a categorical column (what StringIndexer fits).
+MOST_LEVELS = 256       # columns that an encoder may make
 
-    Each level becomes a column of the result's schema, so they come to the driver.
+
+def levels_of(df: DataFrame, col: str, most: int = MOST_LEVELS) -> list[str]:
+    """Sorted levels of a categorical column, at most ``most``: the commonest, by name if equally common.
+
+    They are counted by Spark; only the levels that become columns reach the
+    driver.  Rows of a level beyond the bound count as another level.
+    """
+    found = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), col).limit(most).select(col).collect())
+    return sorted(r[0] for r in found)
+
+
+def encoder_stage(col: str, levels: Sequence[str], prefix: str | None = None) -> SQLTransformer:
+    """A pipeline stage that makes the dummy columns of ``levels`` from the text in ``col``.
+
+    A NULL or a level that was not fitted is 0 in all of them, and 1 in
+    ``<prefix>_other`` unless it is NULL.  The stage is saved with its pipeline.
     """
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().collect()
-    return sorted(r[0] for r in rows)
+    prefix = prefix or col
+    name = lambda v: "`" + f"{prefix}_{v}".replace("`", "``") + "`"
+    text = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    lv = sorted(levels)
+    dummies = [f"coalesce(cast(`{col}` = {text(v)} AS double), 0.0D) AS {name(v)}" for v in lv]
+    known = f"`{col}` IN ({', '.join(map(text, lv))})" if lv else "false"
+    other = f"coalesce(cast(NOT ({known}) AS double), 0.0D) AS {name('other')}" if "other" not in lv else None
+    return SQLTransformer(statement=f"SELECT *, {', '.join([*dummies, *([other] if other else [])])} FROM __THIS__")
 
 
 def one_hot_cols(col: str, levels: Sequence[str], prefix: str | None = None,

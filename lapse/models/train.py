@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..config import LEAKAGE_TOLERANCE, SEED, WINDOWS, Windows
 from ..functions.columns import is_score, risk_tier, round_prob
+from ..functions.encode import encoder_stage
 from ..operators.curves import ap_from_curve, auc_from_curve, score_curve
 from ..operators.isotonic import isotonic_blocks
 from ..operators.prefix import running_totals
@@ -400,6 +401,12 @@ def permutation_importance(spark: SparkSession, sf_dir: str, w: Windows = WINDOW
     return out.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("auc_drop"), "feature")).cast("long"))
 
 
+def raw_scorer(model: PipelineModel, features: list[str], col: str = "frequency") -> PipelineModel:
+    """The scorer behind an encoder stage: it takes ``col`` as text instead of its dummy columns."""
+    levels = [c.removeprefix(f"{col}_") for c in features if c.startswith(f"{col}_")]
+    return PipelineModel(stages=[encoder_stage(col, levels), *model.stages])
+
+
 def model_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "models", f"{name}-{uuid.uuid4().hex[:8]}")
 
@@ -432,6 +439,19 @@ def score_batch(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataF
     return score_frame(loaded, accepted)
 
 
+def score_raw(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
+    """M11 on raw records: the segment as text, encoded by the saved scorer itself."""
+    from ..sources.tables import accounts
+    from ..streaming.scoring import parse_records, split_records
+    t = Trainer(spark, sf_dir, w)
+    _, model, features = t.scorer()
+    plain = [c for c in features if not c.startswith("frequency_")]
+    loaded = load_model(save_model(raw_scorer(model, features), model_path(spark, "raw-scorer")))
+    records = t.test.select("account_id", *plain).join(accounts(spark, sf_dir).select("account_id", "frequency"), "account_id", "left")
+    accepted, _ = split_records(parse_records(records, plain, text=["frequency"]), plain)
+    return score_frame(loaded, accepted)
+
+
 def run_metrics(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:
     """S9 + M8: the model line-up appended to a runs table, read back."""
     from ..sources.sinks import log_runs, read_runs
@@ -446,9 +466,8 @@ def run_metrics(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataF
     m = evaluate(long, "score", ["model"])
     path = os.path.join(checkpoint_dir(spark), "runs")       # one table for all calls
     params = {"seed": t.params.seed, "call": uuid.uuid4().hex[:8]}
-    log_runs(m, path, ("roc_auc", "average_precision", "brier"), params)
-    this = F.get_json_object("params", "$.call") == params["call"]
-    return read_runs(spark, path).where(this).select("run_name", "metric", "value", "params")
+    log_runs(m, path, ("roc_auc", "average_precision", "brier"), params, commit=params["call"])
+    return read_runs(spark, path, params["call"]).select("run_name", "metric", "value", "params")
 
 
 def best_run(spark: SparkSession, sf_dir: str, w: Windows = WINDOWS) -> DataFrame:

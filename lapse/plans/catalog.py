@@ -101,6 +101,7 @@ def queries() -> dict[str, Query]:
         "tree_attribution": attribution.tree_attribution,
         "tree_attribution_rows": attribution.tree_attribution_rows,
         "score_batch": train.score_batch,
+        "score_raw": train.score_raw,
         "run_metrics": train.run_metrics,
         "best_run": train.best_run,
         # Structured Streaming
