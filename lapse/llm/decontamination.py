@@ -1,24 +1,29 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 ``build_index`` stores the postings (term, document, position) of the training
-texts; lists of terms that no test text has are left out.  ``phrase_matches``
+texts; lists of terms that no test text has are left out.  ``phrase_hits``
 takes the windows of the test texts, picks in each window the positions of its
 rarest terms (by postings counted over all documents), moves their lists by the
 offset in the test text so that an occurrence gives the same shift in each, and
 intersects: only (document, test text, shift) groups that hold all the rare
-terms of a window go on to the check of the whole window against the document.
+terms of a window are candidates.  A candidate's words are then counted one by
+one: the words of documents with candidates become rows (document, position,
+term), the candidates' windows too, and a candidate of which every word meets
+its row is an occurrence.  That is linear in the words and in the candidates.
 ``proximity_matches`` intersects the lists of the two rarest terms of a window
 with a slack instead.
 
 Only DataFrame functions.  The test side is broadcast when its counted size is
-under ``BROADCAST_BYTES`` and joined by a shuffle otherwise; documents are
-shuffled once, for the check.  A document is known by a hash of id and text; a
-clash would only add candidates that the check drops.
+under ``BROADCAST_BYTES`` and joined by a shuffle otherwise; the rows and their
+results are the same either way.  Documents are shuffled once, for the check.
+A document is known by 128 bits of hash of id and text (``KEY``), so rows equal
+in both are searched once.
 
 Defined cases: null and empty texts have no words; test texts shorter than a
 window are one window; test texts without words never match; equal test texts
-are searched once and all their ids listed; repeated documents get equal
-results; an empty benchmark leaves every document clean.
+are searched once and all their ids listed, equal windows of one test text are
+one; repeated documents get equal results; an empty benchmark leaves every
+document clean.
 """
 
 from __future__ import annotations
@@ -33,6 +38,7 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"      # what stands between words; the te
 WINDOW = 10
 RAREST = 2
 BROADCAST_BYTES = 16 << 20
+KEY = ["dkey", "dkey2"]
 
 
 def words(text: Column) -> Column:
@@ -55,7 +61,7 @@ def test_texts(items: DataFrame, item: str = "item_id", text: str = "text") -> t
 
 
 def with_key(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return docs.withColumn("dkey", F.xxhash64(F.col(key), F.col(text)))
+    return docs.withColumns({"dkey": F.xxhash64(F.col(key), F.col(text)), "dkey2": F.xxhash64(F.lit(1), F.col(key), F.col(text))})
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
@@ -65,10 +71,10 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
-    """Stored postings (term_id, dkey, pos) of documents that carry ``dkey``; the empty term's position is the length."""
+    """Stored postings (term_id, KEY, pos) of documents that carry ``KEY``; the empty term's position is the length."""
     ended = F.concat(words(F.col(text)), F.array(F.lit("")))
-    postings = docs.select("dkey", F.posexplode(ended).alias("pos", "term")).join(_small(terms, ["term"]), "term")
-    return materialize(postings.select("term_id", "dkey", "pos"), "postings")
+    postings = docs.select(*KEY, F.posexplode(ended).alias("pos", "term")).join(_small(terms, ["term"]), "term")
+    return materialize(postings.select("term_id", *KEY, "pos"), "postings")
 
 
 def test_windows(texts: DataFrame, terms: DataFrame, index: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -81,14 +87,17 @@ def test_windows(texts: DataFrame, terms: DataFrame, index: DataFrame, size: int
     covered = counted.withColumn("at", F.explode(F.sequence(first, last)))
     rank = Window.partitionBy("tid", "at").orderBy("df", "off")
     ranked = covered.withColumn("r", F.row_number().over(rank))
-    return (ranked.groupBy("tid", "at")
-            .agg(F.count(F.lit(1)).cast("int").alias("n"), F.min("df").alias("least"),
-                 F.sort_array(F.collect_list(F.when(F.col("r") <= RAREST, F.struct("off", "term_id")))).alias("rare"))
-            .where("least > 0").drop("least"))
+    windows = (ranked.groupBy("tid", "at")
+               .agg(F.count(F.lit(1)).cast("int").alias("n"), F.min("df").alias("least"),
+                    F.sort_array(F.collect_list(F.when(F.col("r") <= RAREST, F.struct("off", "term_id")))).alias("rare"),
+                    F.sort_array(F.collect_list(F.struct("off", "term"))).alias("placed"))
+               .where("least > 0").withColumn("phrase", F.col("placed")["term"]).drop("least", "placed"))
+    # of equal windows of a test text the first stands for all: they occur at the same places
+    return windows.groupBy("tid", "phrase").agg(F.min_by(F.struct("at", "n", "rare"), "at").alias("w")).select("tid", "w.*", "phrase")
 
 
 def candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """(dkey, tid, at, n, start): places where the shifted lists of a window's rarest terms meet.
+    """(KEY, tid, at, n, start): places where the shifted lists of a window's rarest terms meet.
 
     The offsets that meet at a shift are kept as bits; in test texts of over 64
     words bits are shared, which only adds candidates.
@@ -96,38 +105,38 @@ def candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
     bit = lambda off: F.call_function("shiftleft", F.lit(1).cast("long"), off)
     rare = windows.select("tid", F.explode("rare").alias("x")).select("tid", "x.off", "x.term_id").distinct()
     shifted = (index.join(_small(rare, ["tid", "off", "term_id"]), "term_id")
-               .select("dkey", "tid", (F.col("pos") - F.col("off")).alias("shift"), "off"))
-    met = shifted.groupBy("dkey", "tid", "shift").agg(F.bit_or(bit(F.col("off"))).alias("have"))
+               .select(*KEY, "tid", (F.col("pos") - F.col("off")).alias("shift"), "off"))
+    met = shifted.groupBy(*KEY, "tid", "shift").agg(F.bit_or(bit(F.col("off"))).alias("have"))
     needs = windows.select("tid", "at", "n", F.aggregate(
         "rare", F.lit(0).cast("long"), lambda s, r: s.bitwiseOR(bit(r["off"]))).alias("need"))
     # a shift with one rare term is of use only to texts with a window of one
     fewest = needs.groupBy("tid").agg(F.min(F.bit_count("need")).alias("fewest"))
     return (met.join(_small(fewest, ["tid", "fewest"]), "tid").where("bit_count(have) >= fewest")
             .join(needs, "tid").where(F.col("have").bitwiseAND(F.col("need")) == F.col("need"))
-            .select("dkey", "tid", "at", "n", (F.col("shift") + F.col("at")).alias("start"))
+            .select(*KEY, "tid", "at", "n", (F.col("shift") + F.col("at")).alias("start"))
             .where("start >= 0"))
 
 
-def phrase_matches(docs: DataFrame, texts: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` (with dkey and text) with ``n_words`` and ``hits``: (tid, at, start, n) of every exact window."""
+def phrase_hits(docs: DataFrame, texts: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Every exact window in ``docs`` (KEY and text) as (KEY, tid, start, n), and (KEY, n_words) of all documents."""
     terms = vocabulary(texts)
     index = build_index(docs, terms)
     windows = materialize(test_windows(texts, terms, index, size), "windows")
-    found = candidates(index, windows).join(texts.withColumnRenamed("words", "twords"), "tid")
-    per_doc = found.groupBy("dkey").agg(F.collect_list(F.struct(
-        "tid", "at", "start", "n", F.expr("slice(twords, at + 1, n)").alias("phrase"))).alias("cands"))
-    split = F.when(F.col("cands").isNotNull(), words(F.col("text")))
-    checked = docs.join(per_doc, "dkey", "left").withColumn("words", split)
-    exact = F.filter("cands", lambda c: F.slice(F.col("words"), c["start"] + 1, c["n"]) == c["phrase"])
-    checked = checked.withColumn("hits", F.coalesce(F.transform(exact, lambda c: c.dropFields("phrase")), F.expr(
-        "CAST(array() AS array<struct<tid:bigint,at:int,start:int,n:int>>)"))).drop("cands", "words")
-    lengths = (index.join(F.broadcast(terms.where("term = ''")), "term_id")
-               .groupBy("dkey").agg(F.max("pos").cast("long").alias("n_words")))
-    return checked.join(lengths, "dkey")
+    found = materialize(candidates(index, windows), "candidates")
+    phrases = windows.select("tid", "at", F.posexplode("phrase").alias("i", "term"))
+    wanted = (found.join(_small(phrases, ["tid", "at", "i", "term"]), ["tid", "at"])
+              .select(*KEY, "tid", "at", "n", "start", (F.col("start") + F.col("i")).alias("pos"), "term"))
+    some = docs.select(*KEY, "text").join(found.select(*KEY).distinct(), KEY, "left_semi").dropDuplicates(KEY)
+    rows = some.select(*KEY, F.posexplode(words(F.col("text"))).alias("pos", "term"))
+    met = wanted.join(rows, [*KEY, "pos", "term"]).groupBy(*KEY, "tid", "at", "start", "n").agg(F.count(F.lit(1)).alias("met"))
+    hits = materialize(met.where("met = n").select(*KEY, "tid", "start", "n"), "hits")
+    lengths = (index.join(F.broadcast(terms.where("term = ''")), "term_id")     # one term
+               .groupBy(*KEY).agg(F.max("pos").cast("long").alias("n_words")))
+    return hits, lengths
 
 
 def proximity_matches(docs: DataFrame, texts: DataFrame, slack: int, size: int = WINDOW) -> DataFrame:
-    """(dkey, tid, at): windows whose two rarest terms stand in a document at most ``slack`` words
+    """(KEY, tid, at): windows whose two rarest terms stand in a document at most ``slack`` words
     nearer or farther than in the window.
 
     Shifts are cut into cells of ``slack + 1``; a partner is in the same cell or a neighbour.
@@ -141,33 +150,21 @@ def proximity_matches(docs: DataFrame, texts: DataFrame, slack: int, size: int =
     def lists(which: str) -> DataFrame:
         side = pair.select("tid", "at", f"{which}.off", f"{which}.term_id")
         return index.join(_small(side, ["tid", "at", "off", "term_id"]), "term_id").select(
-            "dkey", "tid", "at", (F.col("pos") - F.col("off")).alias(f"shift_{which}"))
+            *KEY, "tid", "at", (F.col("pos") - F.col("off")).alias(f"shift_{which}"))
 
     cell = lambda c: F.floor(F.col(c) / F.lit(slack + 1))
     left = lists("a").withColumn("cell", cell("shift_a"))
     right = lists("b").withColumn("cell", F.explode(F.array(*[cell("shift_b") + d for d in (-1, 0, 1)])))
-    return (left.join(right, ["dkey", "tid", "at", "cell"])
+    return (left.join(right, [*KEY, "tid", "at", "cell"])
             .where(F.abs(F.col("shift_a") - F.col("shift_b")) <= slack)
-            .select("dkey", "tid", "at").distinct())
-
-
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(dkey, doc_id, n_words, n_hit, tids) of every row of ``docs`` (doc_id, text), and the item map."""
-    texts, _ = test_texts(items)
-    found = phrase_matches(with_key(docs.select("doc_id", "text")), texts, size).drop("text")
-    covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["n"] - 1))))
-    return found.select(
-        "dkey", "doc_id", "n_words", F.size(covered).cast("long").alias("n_hit"),
-        F.array_distinct(F.transform("hits", lambda h: h["tid"])).alias("tids")), texts
+            .select(*KEY, "tid", "at").distinct())
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of a test text occurs, unchanged."""
-    others = [c for c in docs.columns if c != "text"]
-    keyed = docs.select(F.struct(*others).alias("row"), "text", F.col("doc_id").alias("id"))
-    keyed = with_key(keyed, "id").drop("id")
-    clean = phrase_matches(keyed, test_texts(items)[0], size).where("size(hits) = 0")
-    return clean.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    hits, _ = phrase_hits(with_key(docs.select("doc_id", "text")), test_texts(items)[0], size)
+    rows = with_key(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")).drop("doc_id", "text")
+    return rows.join(hits.select(*KEY).distinct(), KEY, "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,16 +174,22 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    found, texts = contamination(docs, items, size)
-    found = materialize(found, "contamination")
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of ``docs`` (doc_id, text)."""
+    texts, _ = test_texts(items)
+    keyed = with_key(docs.select("doc_id", "text"))
+    hits, lengths = phrase_hits(keyed, texts, size)
+    covered = (hits.select(*KEY, F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("pos")).distinct()
+               .groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_hit")))
     have = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("words"))
     named = have.join(texts, "words").select("item", "tid").where("item IS NOT NULL").distinct()
-    lists = (found.select("dkey", F.explode("tids").alias("tid")).distinct().join(named, "tid")
-             .groupBy("dkey").agg(F.sort_array(F.collect_set("item")).alias("items")))
+    lists = (hits.select(*KEY, "tid").distinct().join(named, "tid")
+             .groupBy(*KEY).agg(F.sort_array(F.collect_set("item")).alias("items")))
+    found = materialize(covered.join(lists, KEY, "left"), "contamination")
     items_of = F.coalesce("items", F.expr("CAST(array() AS array<string>)"))
-    return found.join(lists, "dkey", "left").select(
-        "doc_id", "n_words", "n_hit", F.size(items_of).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return keyed.drop("text").join(lengths, KEY).join(found, KEY, "left").select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 OP2_SQL = r"""

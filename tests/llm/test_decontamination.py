@@ -86,8 +86,8 @@ def test_proximity(spark):
     texts, _ = dc.test_texts(items)
 
     def found(slack):
-        hits = dc.proximity_matches(docs, texts, slack).select("dkey").distinct()
-        return sorted(r["doc_id"] for r in docs.join(hits, "dkey").collect())
+        hits = dc.proximity_matches(docs, texts, slack).select(*dc.KEY).distinct()
+        return sorted(r["doc_id"] for r in docs.join(hits, dc.KEY).collect())
 
     # the rarest two are gamma and delta
     assert found(0) == [1, 4]
@@ -95,3 +95,38 @@ def test_proximity(spark):
         [(1, "gamma x delta alpha beta"), (2, "delta gamma alpha beta"), (3, "gamma " + "x " * 9 + "delta"), (4, "alpha beta " * 4)],
         "doc_id long, text string"))
     assert found(1) == [1] and found(2) == [1, 2] and found(9) == [1, 2, 3]
+
+
+def test_one_repeated_word(spark):
+    """Every place of a long text is a candidate: work stays linear in them."""
+    docs = spark.createDataFrame([(1, "a " * 300_000), (2, "a " * 29), (3, "b " * 50), (4, ("a " * 9 + "b ") * 20_000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a " * 30), (2, "a " * 9 + "b " + "a " * 9 + "c")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"]) for r in dc.decontaminate(docs, items).collect()}
+    assert got == {1: (300_000, 300_000, 1), 2: (29, 29, 1), 3: (50, 0, 0), 4: (200_000, 199_999 + 1, 1)}
+
+
+def test_texts_are_split_once(spark):
+    """No split stands inside a function over an array: it would run for each element."""
+    import re as re_
+
+    from lapse import session
+    plans = []
+    session.MATERIALIZE_HOOKS.append(lambda name, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()))
+    try:
+        docs, items = fixture(1)
+        out = dc.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    finally:
+        session.MATERIALIZE_HOOKS.pop()
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert any("split(" in p for p in plans)
+    for plan in plans:
+        assert not re_.search(r"lambdafunction\([^\n]*split\(", plan), plan
+
+
+def test_drop_keeps_rows_and_columns(spark):
+    docs, items = fixture(2)
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("dkey", F.lit("x")).withColumn("row", F.lit(2))
+    got = dc.drop_contaminated(d, spark.createDataFrame(items, "item_id long, text string"))
+    assert got.columns == d.columns
+    want = [r for r in docs if not brute([r], items, 10)[0][5]]
+    assert sorted(str((r["doc_id"], r["text"])) for r in got.collect()) == sorted(map(str, want)) and 0 < len(want) < len(docs)
