@@ -15,7 +15,9 @@ with a slack instead.
 
 Only DataFrame functions.  The test side is broadcast when its counted size is
 under ``BROADCAST_BYTES`` and joined by a shuffle otherwise; the rows and their
-results are the same either way.  Documents are shuffled once, for the check.
+results are the same either way.  Only documents that share a cell of a hash
+with a candidate are shuffled, for the check; the set of cells is bounded and
+broadcast.
 A document is known by 128 bits of hash of id and text (``KEY``), so rows equal
 in both are searched once.
 
@@ -39,6 +41,7 @@ WINDOW = 10
 RAREST = 2
 BROADCAST_BYTES = 16 << 20
 KEY = ["dkey", "dkey2"]
+CELLS = 1 << 20             # cells of the broadcast set that tells most documents apart before a shuffle
 
 
 def words(text: Column) -> Column:
@@ -117,6 +120,17 @@ def candidates(index: DataFrame, windows: DataFrame) -> DataFrame:
             .where("start >= 0"))
 
 
+def _cells(keys: DataFrame) -> DataFrame:
+    """The cells that the keys fall into: ``CELLS`` numbers at most, whatever the keys."""
+    return F.broadcast(keys.select(F.pmod("dkey", F.lit(CELLS)).alias("cell")).distinct())
+
+
+def _maybe(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``docs`` in a cell of ``keys`` (or, with ``left_anti``, in none), without a shuffle."""
+    cells = _cells(keys)
+    return docs.join(cells, F.pmod(docs["dkey"], F.lit(CELLS)) == cells["cell"], how)
+
+
 def phrase_hits(docs: DataFrame, texts: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """Every exact window in ``docs`` (KEY and text) as (KEY, tid, start, n), and (KEY, n_words) of all documents."""
     terms = vocabulary(texts)
@@ -126,7 +140,8 @@ def phrase_hits(docs: DataFrame, texts: DataFrame, size: int = WINDOW) -> tuple[
     phrases = windows.select("tid", "at", F.posexplode("phrase").alias("i", "term"))
     wanted = (found.join(_small(phrases, ["tid", "at", "i", "term"]), ["tid", "at"])
               .select(*KEY, "tid", "at", "n", "start", (F.col("start") + F.col("i")).alias("pos"), "term"))
-    some = docs.select(*KEY, "text").join(found.select(*KEY).distinct(), KEY, "left_semi").dropDuplicates(KEY)
+    keys = materialize(found.select(*KEY).distinct(), "suspects")
+    some = _maybe(docs.select(*KEY, "text"), keys).join(keys, KEY, "left_semi").dropDuplicates(KEY)
     rows = some.select(*KEY, F.posexplode(words(F.col("text"))).alias("pos", "term"))
     met = wanted.join(rows, [*KEY, "pos", "term"]).groupBy(*KEY, "tid", "at", "start", "n").agg(F.count(F.lit(1)).alias("met"))
     hits = materialize(met.where("met = n").select(*KEY, "tid", "start", "n"), "hits")
@@ -164,7 +179,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) ->
     """The rows of ``docs`` in which no window of a test text occurs, unchanged."""
     hits, _ = phrase_hits(with_key(docs.select("doc_id", "text")), test_texts(items)[0], size)
     rows = with_key(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")).drop("doc_id", "text")
-    return rows.join(hits.select(*KEY).distinct(), KEY, "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    bad = materialize(hits.select(*KEY).distinct(), "contaminated")
+    kept = _maybe(rows, bad, "left_anti").unionByName(_maybe(rows, bad).join(bad, KEY, "left_anti"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
