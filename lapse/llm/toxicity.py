@@ -1,24 +1,29 @@
-"""Toxicity by compression distance to two Zstandard dictionaries.
-
-Both dictionaries hold the most frequent words of ordinary labelled text; the
-toxic one also holds the segments that mark toxic text: runs of character
-``GRAM``-grams whose share of toxic documents is far above their share of
-ordinary ones.  A text is cut into windows of words; a window that compresses
-better with the toxic dictionary holds some of those segments, in whatever
-word.  Words that ordinary text has too, but not again and again, are known by
-their rate: stems are beginnings of words that toxic documents repeat and that
-are far more frequent in them, each with the log of how much.  The largest and
-the summed gain, the summed weight of the stems, and the number of windows give
-the score by a logistic calibration on labelled rows that dictionaries and
-stems have not seen, shifted to the classes' true proportion.
+"""Toxicity by compression distance to separately trained Zstandard dictionaries.
+
+The texts of each class are cut into windows of words, and Zstandard trains a
+dictionary on the windows of toxic texts and another on those of ordinary ones,
+in ``HEADS`` sizes.  Both go before one base, trained on ordinary text too, so
+that a window of common words has the same length with either, and its gain
+(length with the ordinary dictionary minus length with the toxic one) tells what
+else it holds.  The largest gain, the mean of the ``TOP`` largest, the mean of
+all, and the sum and rate of what passes one byte are measured for each size.
+
+One measure goes beside the method, as dictionaries alone miss texts that are
+toxic by how often they say what ordinary texts say once: stems are beginnings
+of words that toxic documents repeat and that are far more frequent in them,
+each with the log of how much.  The measures, the summed weight of the stems
+and the number of windows give the score by a logistic calibration on labelled
+rows that dictionaries and stems have not seen, shifted to the classes' true
+proportion.
 
 The fit uses at most ``training.ROWS_PER_CLASS`` labelled rows of each class;
 every text is scored whole, window by window, in Arrow batches without a
 shuffle.
 
 Defined cases: null and empty texts have one empty window and get its score; a
-text without white space is one window; repeated rows score alike; without
-labelled rows of both classes every score is 0; empty tables give no rows.
+text without white space is one window; repeated rows score alike; a class with
+too little text to train on is its own dictionary; without labelled rows of both
+classes every score is 0; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -38,18 +43,16 @@ from lapse.llm.common import read_table
 THRESHOLD = 0.3
 WINDOW_WORDS = 12
 STRIDE_WORDS = 6            # windows overlap, so no segment is only at an edge
-GRAM = 5
-LOG_ODDS = 3.5
-EVIDENCE = 36.0            # least log-likelihood statistic of a gram, so that chance or a few copies don't make one
 STEM_BYTES = range(4, 9)
 STEM_ODDS = 2.0
 STEM_EVIDENCE = 24.0
 STEM_TIMES = 2              # a document repeats a stem from this many words on
 STEM_MOST = 8               # words of one document that count for the rate of a stem
-GAIN = 2                    # a window counts from this many bytes on
-ANCHOR_BYTES = 200          # of the common words, after every window: a short window alone may be stored as it is
-BASE_BYTES = 40_000
-TOXIC_BYTES = 24_000
+TOP = 3
+BASE_BYTES = 30_000
+HEADS = (600, 2000)         # bytes of the trained dictionaries; small ones keep to what recurs most
+SEGMENT_BYTES = (32, 16)    # segments that training chooses, in the base and in the heads
+DMER_BYTES = 6
 CALIBRATION = 4             # every fourth row of the sample calibrates
 
 
@@ -67,16 +70,12 @@ def windows(text: str | None) -> list[bytes]:
     return [b" " + b" ".join(words[i:i + WINDOW_WORDS]) + b" " for i in range(0, last, STRIDE_WORDS)]
 
 
-def grams(words: set[bytes]) -> set[bytes]:
-    return {w[i:i + GRAM] for w in (b" " + x + b" " for x in words) for i in range(max(1, len(w) - GRAM + 1))}
-
-
 def log_odds(n: int, toxic: int, m: int, plain: int) -> float:
     return float(np.log((n + 0.5) / (toxic + 1)) - np.log((m + 0.5) / (plain + 1)))
 
 
-def marks_toxic(n: int, toxic: int, m: int, plain: int, least_odds: float = LOG_ODDS, evidence: float = EVIDENCE) -> bool:
-    """Whether a gram in ``n`` toxic and ``m`` ordinary documents is far commoner in toxic ones, beyond chance."""
+def marks_toxic(n: int, toxic: int, m: int, plain: int, least_odds: float, evidence: float) -> bool:
+    """Whether a stem in ``n`` toxic and ``m`` ordinary documents is far commoner in toxic ones, beyond chance."""
     if log_odds(n, toxic, m, plain) <= least_odds:
         return False
     share = (n + m) / (toxic + plain)
@@ -84,30 +83,6 @@ def marks_toxic(n: int, toxic: int, m: int, plain: int, least_odds: float = LOG_
     return statistic >= evidence
 
 
-def toxic_segments(texts: list[tuple[str, int]]) -> Counter:
-    """Segments that mark toxic documents, with the number of those that have them."""
-    distinct = sorted(set(texts))                   # copies are no evidence
-    toxic, plain = ([set(words_of(t)) for t, y in distinct if y == k] for k in (1, 0))
-    seen = [Counter(), Counter()]
-    for k, docs in enumerate((plain, toxic)):
-        for d in docs:
-            seen[k].update(grams(d))
-    marks = {g for g, n in seen[1].items() if marks_toxic(n, len(toxic), seen[0][g], len(plain))}
-    found: Counter = Counter()
-    for d in toxic:
-        segments = set()
-        for word in d:
-            word = b" " + word + b" "
-            at = [i for i in range(len(word) - GRAM + 1) if word[i:i + GRAM] in marks]
-            for k, i in enumerate(at):
-                if k == 0 or i > at[k - 1] + GRAM:
-                    begin = i
-                if k + 1 == len(at) or at[k + 1] > i + GRAM:
-                    segments.add(word[begin:i + GRAM])
-        found.update(segments)
-    return found
-
-
 def toxic_stems(texts: list[tuple[str, int]]) -> dict[bytes, float]:
     """Beginnings of words that toxic documents repeat, with the log ratio of their rates per word."""
     repeated, often, docs, words = [Counter(), Counter()], [Counter(), Counter()], [0, 0], [0, 0]
@@ -130,42 +105,43 @@ def toxic_stems(texts: list[tuple[str, int]]) -> dict[bytes, float]:
     return stems
 
 
-def _content(parts: Counter, size: int, glue: bytes) -> bytes:
-    """The most frequent parts that fit, the most frequent last: near content is cheapest to refer to."""
-    chosen, used = [], 0
-    for part, _ in sorted(parts.items(), key=lambda p: (-p[1], p[0])):
-        used += len(part) + len(glue)
-        if used > size:
-            break
-        chosen.append(part)
-    return glue + glue.join(reversed(chosen)) + glue
+def trained(samples: list[bytes], size: int, segment: int) -> bytes:
+    """Content of a dictionary that Zstandard trains on ``samples``; their last bytes where they are too few."""
+    try:
+        return zstandard.train_dictionary(size, samples, k=segment, d=DMER_BYTES).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
 
 
 class Distance:
-    """Compressed length with the ordinary dictionary minus that with the toxic one."""
+    """Compressed length with the ordinary dictionary minus that with the toxic one, for each size."""
 
     def __init__(self, model: dict):
         parameters = zstandard.ZstdCompressionParameters.from_level(
-            6, strategy=zstandard.STRATEGY_LAZY2, min_match=GRAM, write_content_size=False, write_checksum=False,
+            6, strategy=zstandard.STRATEGY_LAZY2, min_match=4, write_content_size=False, write_checksum=False,
             write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
-        self.packers, self.anchor = [], model["plain"][-ANCHOR_BYTES:]
         self.stems = model["stems"]
         self.heads = {s[:STEM_BYTES[0]] for s in self.stems}
-        for content in (model["plain"], model["toxic"] + model["plain"]):
-            dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+        def packer(head: bytes):
+            dictionary = zstandard.ZstdCompressionDict(head + model["base"], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             dictionary.precompute_compress(compression_params=parameters)
-            self.packers.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters).compress)
+            return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=parameters).compress
+
+        self.packers = [(packer(plain), packer(toxic)) for plain, toxic in zip(model["plain"], model["toxic"])]
 
     def stem_weight(self, text: str | None) -> float:
         """Sum over the words of the largest weight of their stems."""
         stems, heads, head = self.stems, self.heads, STEM_BYTES[0]
         return sum(max(stems.get(w[:n], 0.0) for n in STEM_BYTES) for w in words_of(text) if w[:head] in heads) if stems else 0.0
 
-    def features(self, text: str | None) -> tuple[float, float, float, float]:
-        plain, toxic = self.packers
-        gains = [len(plain(w)) - len(toxic(w)) for w in (x + self.anchor for x in windows(text))]
-        return (float(min(12, max(gains))), float(np.log1p(sum(g for g in gains if g >= GAIN))),
-                float(np.log1p(self.stem_weight(text))), float(np.log(len(gains))))
+    def features(self, text: str | None) -> list[float]:
+        parts, found = windows(text), []
+        for plain, toxic in self.packers:
+            gains = np.array([len(plain(w)) - len(toxic(w)) for w in parts], float)
+            over = float(np.maximum(gains - 1, 0).sum())
+            found += [gains.max(), np.sort(gains)[-TOP:].mean(), gains.mean(), np.log1p(over), over / len(gains)]
+        return [float(x) for x in (*found, np.log1p(self.stem_weight(text)), np.log(len(parts)))]
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None) -> dict | None:
@@ -175,11 +151,10 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None) ->
     rest = [t for i, t in enumerate(texts) if not i % CALIBRATION]
     if len({y for _, y in fitted}) < 2 or len({y for _, y in rest}) < 2:
         return None
-    common: Counter = Counter()
-    for text, y in fitted:
-        if not y:
-            common.update(words_of(text))
-    model = {"plain": _content(common, BASE_BYTES, b" "), "toxic": _content(toxic_segments(fitted), TOXIC_BYTES, b""),
+    plain, toxic = ([w for t in sorted({t for t, y in fitted if y == k}) for w in windows(t)] for k in (0, 1))    # copies are no evidence
+    model = {"base": trained(plain, BASE_BYTES, SEGMENT_BYTES[0]),
+             "plain": [trained(plain, size, SEGMENT_BYTES[1]) for size in HEADS],
+             "toxic": [trained(toxic, size, SEGMENT_BYTES[1]) for size in HEADS],
              "stems": toxic_stems(fitted)}
     distance = Distance(model)
     x, y = np.array([distance.features(t) for t, _ in rest]), np.array([y for _, y in rest], float)

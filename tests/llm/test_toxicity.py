@@ -79,6 +79,31 @@ def test_windows_cover_every_word():
         assert seen == set(words)
 
 
+def test_verdicts_come_from_the_two_trained_dictionaries(tables):
+    """Without stems the dictionaries find the toxic rows; with one dictionary in both places nothing does."""
+    docs, labels = tables
+    pairs = [(r["text"], r["toxic"]) for r in docs.join(labels, "doc_id").orderBy("doc_id").collect()]
+    samples = [[w for t, y in pairs[:500] if y == k for w in toxicity.windows(t)] for k in (0, 1)]
+    plain, toxic = ([toxicity.trained(s, size, toxicity.SEGMENT_BYTES[1]) for size in toxicity.HEADS] for s in samples)
+    base = toxicity.trained(samples[0], toxicity.BASE_BYTES, toxicity.SEGMENT_BYTES[0])
+    y = np.array([y for _, y in pairs], float)
+
+    def separation(**model):
+        """Share of (toxic, ordinary) pairs of unseen rows that are in the right order."""
+        distance = toxicity.Distance({"base": base, "stems": {}, **model})
+        x = np.array([distance.features(t) for t, _ in pairs])
+        w = toxicity.training.fit_logistic(x[500:700], y[500:700])
+        z = x[700:] @ w[:-1] + w[-1]
+        return float(np.mean(z[y[700:] == 1][:, None] > z[y[700:] == 0][None, :]))
+
+    assert separation(plain=plain, toxic=toxic) >= 0.95
+    assert separation(plain=plain, toxic=plain) <= 0.65
+
+
+def test_too_little_text_to_train_on():
+    assert toxicity.trained([], 600, 16) == b"" and toxicity.trained([b" a b "], 600, 16) == b" a b "
+
+
 def test_repeated_words_mark_toxic_texts():
     """Ordinary texts have each such word too, but once: only its rate tells."""
     rng = random.Random(4)
@@ -91,7 +116,7 @@ def test_repeated_words_mark_toxic_texts():
         texts.append((" ".join(words), toxic))
     stems = toxicity.toxic_stems(texts[:800])
     assert b"braspo" in stems and all(s.startswith(b"bras") for s in stems)
-    model = {"plain": b" ".join(toxicity.words_of(texts[1][0])), "toxic": b"", "stems": stems}
+    model = {"base": b" ".join(toxicity.words_of(texts[1][0])), "plain": [b""], "toxic": [b""], "stems": stems}
     distance = toxicity.Distance(model)
     x = np.array([distance.features(t) for t, _ in texts])
     y = np.array([y for _, y in texts], float)
