@@ -2,7 +2,7 @@
 
 The texts of each class are cut into windows of words, and Zstandard trains a
 dictionary on the windows of toxic texts and another on those of ordinary ones,
-in ``HEADS`` sizes.  Both go before one base, trained on ordinary text too, so
+in ``HEADS`` bytes.  Both go before one base, trained on ordinary text too, so
 that a window of common words has the same length with either, and its gain
 (length with the ordinary dictionary minus length with the toxic one) tells what
 else it holds.  The largest gain, the mean of the ``TOP`` largest, the mean of
@@ -42,7 +42,6 @@ from lapse.llm.common import read_table
 
 THRESHOLD = 0.3
 WINDOW_WORDS = 12
-STRIDE_WORDS = 6            # windows overlap, so no segment is only at an edge
 STEM_BYTES = range(4, 9)
 STEM_ODDS = 2.0
 STEM_EVIDENCE = 24.0
@@ -50,7 +49,7 @@ STEM_TIMES = 2              # a document repeats a stem from this many words on
 STEM_MOST = 8               # words of one document that count for the rate of a stem
 TOP = 3
 BASE_BYTES = 30_000
-HEADS = (600, 2000)         # bytes of the trained dictionaries; small ones keep to what recurs most
+HEADS = (2000,)             # bytes of the trained dictionaries; small ones keep to what recurs most
 SEGMENT_BYTES = (32, 16)    # segments that training chooses, in the base and in the heads
 DMER_BYTES = 6
 CALIBRATION = 4             # every fourth row of the sample calibrates
@@ -66,8 +65,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 def windows(text: str | None) -> list[bytes]:
     words = words_of(text)
-    last = max(1, len(words) - (WINDOW_WORDS - STRIDE_WORDS))
-    return [b" " + b" ".join(words[i:i + WINDOW_WORDS]) + b" " for i in range(0, last, STRIDE_WORDS)]
+    return [b" " + b" ".join(words[i:i + WINDOW_WORDS]) + b" " for i in range(0, max(1, len(words)), WINDOW_WORDS)]
 
 
 def log_odds(n: int, toxic: int, m: int, plain: int) -> float:
