@@ -3,12 +3,15 @@
 A rule (host, path prefix) covers its host and all subdomains.  Every URL gives
 one key per host suffix: (reversed suffix, path); a rule is then the interval of
 all keys that continue its own key, and intervals of one host are nested or
-disjoint.  Rules and keys are sorted together over range partitions; each key
-needs only the last rule that starts at or before it and the stack of rules
-that were open when that one was pushed, from which those that have ended by
-the key are popped.  (If P is a prefix of key q and P <= L <= q, P is a prefix
-of L: every rule that covers q is on the stack of the last rule L.)  Each range
-partition starts with the last rule of the partitions before it.
+disjoint.  Paths are compared as UTF-8 bytes, in which no byte is FF: an
+interval ends at its path followed by FF.
+
+The sweep goes over starts, keys and ends in one order, over range partitions.
+A start pushes its rule and an end pops it, so the running sum of +1 and -1 is
+the height of the stack, and the rule on level h is the last one that was pushed
+to level h.  At a key the top level holds the longest open rule of its suffix.
+Between range partitions go the heights and, for each level, the last rule pushed
+to it: at most one row per partition and level, whatever the URLs.
 
 Only DataFrame functions.  URLs with equal host and path are judged once; the
 host is part of the range key, so a suffix like ``com`` is spread over tasks.
@@ -52,21 +55,18 @@ def _reversed_host(labels: Column) -> Column:
     return F.concat_ws(".", F.reverse(labels))
 
 
-def _stacks(rules: DataFrame) -> DataFrame:
-    """Each rule with the stack of rules that cover it, itself last."""
+def _intervals(rules: DataFrame) -> DataFrame:
+    """The start (+1) and the end (-1) of every distinct rule, in the sweep's columns."""
     clean = (rules.where("host IS NOT NULL AND path IS NOT NULL AND action IS NOT NULL")
-             .select(ascii_lower(F.col("host")).alias("rule_host"), F.col("path").alias("rule_path"), "action")
-             .groupBy("rule_host", "rule_path").agg(F.max("action").alias("action")))
-    clean = clean.withColumn("rhost", _reversed_host(F.split("rule_host", r"\.")))
-    prefixes = clean.select(
-        "rhost", F.col("rule_path").alias("path"),
-        F.explode(F.sequence(F.lit(0), F.length("rule_path"))).alias("n"))
-    prefixes = prefixes.select("rhost", "path", F.expr("left(path, n)").alias("rule_path"))
-    open_rules = prefixes.join(clean, ["rhost", "rule_path"])
-    return open_rules.groupBy("rhost", "path").agg(
-        F.sort_array(F.collect_list(F.struct(
-            F.length("rule_path").alias("n"), F.col("rule_path").alias("path"),
-            F.col("rule_host").alias("host"), "action"))).alias("stack"))
+             .select(ascii_lower(F.col("host")).alias("host"), F.col("path").alias("rule_path"), "action")
+             .groupBy("host", "rule_path").agg(F.max("action").alias("action")))
+    clean = clean.select(_reversed_host(F.split("host", r"\.")).alias("rhost"), F.col("rule_path").cast("binary").alias("at"),
+                         F.struct("host", F.col("rule_path").alias("path"), "action").alias("rule"))
+    none = F.lit(None).cast(clean.schema["rule"].dataType)
+    starts = clean.select("rhost", "at", F.lit(0).alias("kind"), F.lit("").alias("host"), F.lit(1).alias("push"), "rule")
+    ends = clean.select("rhost", F.concat("at", F.unhex(F.lit("FF"))).alias("at"), F.lit(2).alias("kind"),
+                        F.lit("").alias("host"), F.lit(-1).alias("push"), none.alias("rule"))
+    return starts.unionByName(ends)
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) -> DataFrame:
@@ -81,31 +81,36 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT
             .withColumn("k", F.explode(F.sequence(F.lit(1), F.least(F.size("labels"), F.lit(max(1, most))))))
             .select("host", "path", _reversed_host(F.expr("slice(labels, size(labels) - k + 1, k)")).alias("rhost")))
 
-    no_stack = F.lit(None).cast("array<struct<n:int,path:string,host:string,action:string>>")
-    events = (_stacks(rules).select("rhost", "path", F.lit(0).alias("kind"), F.lit("").alias("host"), "stack")
-              .unionByName(keys.select("rhost", "path", F.lit(1).alias("kind"), "host", no_stack.alias("stack"))))
+    events = _intervals(rules)
+    none = F.lit(None).cast(events.schema["rule"].dataType)
+    events = events.unionByName(keys.select(
+        "rhost", F.col("path").cast("binary").alias("at"), F.lit(1).alias("kind"), "host", F.lit(0).alias("push"), none.alias("rule")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["rhost", "path", "kind", "host"]
-    # written once: both uses must see the same ranges
+    order = ["rhost", "at", "kind", "host"]
+    # written once: all uses must see the same ranges
     swept = materialize(events.repartitionByRange(parts, *order)
                         .withColumn("part", F.spark_partition_id()), "urlsweep")
 
-    pushed = F.when(F.col("kind") == 0, F.struct("rhost", "stack"))
-    # one row per range partition
+    # one row per range partition: the height of the stack at its start
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (swept.groupBy("part").agg(F.max(F.when(F.col("kind") == 0, F.struct("rhost", "path", "stack"))).alias("top"))
-               .select("part", F.last(F.when(F.col("top").isNotNull(), F.struct("top.rhost", "top.stack")), True)
-                       .over(before).alias("carried")))
-    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    tops = (swept.withColumn("top", F.last(pushed, True).over(within))
-            .where("kind = 1")
-            .join(F.broadcast(carried), "part")
-            .withColumn("top", F.coalesce("top", "carried")))
-    still_open = F.filter("top.stack", lambda r: F.startswith(F.col("path"), r["path"]))
-    found = (tops.where(F.col("top.rhost") == F.col("rhost"))
-             .select("host", "path", still_open.alias("open")).where(F.size("open") > 0)
-             .withColumn("r", F.element_at("open", -1))
-             .groupBy("host", "path")
+    heights = swept.groupBy("part").agg(F.sum("push").alias("push")).select(
+        "part", F.coalesce(F.sum("push").over(before), F.lit(0)).alias("carried"))
+    running = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    levels = (swept.withColumn("height", F.sum("push").over(running))
+              .join(F.broadcast(heights), "part")
+              .withColumn("level", F.col("height") + F.col("carried"))
+              .where("level > 0 AND kind < 2"))
+    # one row per range partition and level: the last rule that earlier partitions pushed to the level
+    place = F.struct("rhost", "at", "rule")
+    earlier = Window.partitionBy("level").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (levels.groupBy("part", "level").agg(F.max(F.when(F.col("kind") == 0, place)).alias("pushed"))
+               .select("part", "level", F.last("pushed.rule", True).over(earlier).alias("carried_rule")))
+    pushed = Window.partitionBy("part", "level").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = (levels.withColumn("r", F.last("rule", True).over(pushed))
+             .where("kind = 1")
+             .join(carried, ["part", "level"])
+             .withColumn("r", F.coalesce("r", "carried_rule"))
+             .groupBy("host", F.col("at").cast("string").alias("path"))
              .agg(F.max(F.struct(F.length(F.concat("r.host", "r.path")).alias("n"), F.length("r.host").alias("h"),
                                  F.concat("r.host", "r.path").alias("rule"), F.col("r.action").alias("action"))).alias("_won")))
     return (urls.join(found, ["host", "path"], "left")

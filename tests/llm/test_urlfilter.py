@@ -72,3 +72,22 @@ def test_empty_sides(spark):
     none = urlfilter.judge_urls(df, table.where("host = 'q'")).collect()
     assert [(r["rule"], r["verdict"]) for r in none] == [(None, "allow")]
     assert urlfilter.judge_urls(df.where("page_id > 1"), table).count() == 0
+
+
+def test_deep_nesting_is_carried_between_range_partitions(spark):
+    """Rules nested 60 deep over one host; far more keys than rules, so most range partitions push nothing."""
+    rules = [("org", "/" + "a" * n, "block" if n % 2 else "allow") for n in range(60)]
+    rules += [("b.org", "/a", "allow"), ("org", "/é\U0010ffff", "block"), ("org", "", "block"), ("org", "/zz", "allow")]
+    rng = np.random.default_rng(5)
+    pages = ["http://x.b.org/" + "a" * int(rng.integers(0, 70)) + "".join(rng.choice(list("abz"), 4)) for _ in range(1500)]
+    pages += ["http://org/é\U0010ffff", "http://org/é\U0010ffff\U0010ffff", "http://org/é", "http://org/ê", "http://org", "http://b.org/a"]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
+    table = spark.createDataFrame(rules, "host string, path string, action string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urlfilter.judge_urls(df, table).collect()}
+    assert got == {i: brute(u, rules) for i, u in enumerate(pages)}
+
+
+def test_sweep_has_no_join_of_rules_by_prefix(spark):
+    """Rows of the sweep: one per key, a start and an end per rule, however deep the rules nest."""
+    table = spark.createDataFrame([("org", "/" + "a" * n, "block") for n in range(50)], "host string, path string, action string")
+    assert urlfilter._intervals(table).count() == 100
