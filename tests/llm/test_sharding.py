@@ -1,9 +1,12 @@
 """Sharding: the rendezvous law, weights, slots, edge cases."""
 
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lapse.llm import common, sharding
@@ -71,3 +74,26 @@ def test_write_shards(spark, tmp_path):
     sharding.write_shards(df, str(tmp_path / "s"), files_per_shard=3)
     assert spark.read.parquet(str(tmp_path / "s")).count() == 200
     assert len(list((tmp_path / "s" / "shard=0").glob("*.parquet"))) > 1
+
+
+def recomputed(key, weights):
+    """Rendezvous outside Spark: XXH64 of the key's 8 bytes is the seed for the shard's 4."""
+    seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+    costs = []
+    for shard, weight in weights:
+        place = ((xxhash.xxh64_intdigest(struct.pack("<i", shard), seed) >> 11) + 0.5) / 2.0 ** 53
+        costs.append((-math.log(place) / weight, shard))
+    return min(costs)[1]
+
+
+@pytest.mark.parametrize("weights", [sharding.equal_shards(16), sharding.equal_shards(17), [(3, 0.5), (0, 2.0), (9, 7.25)]])
+def test_recomputed_outside_spark(spark, weights):
+    keys = [None, 0, -1, 2 ** 63 - 1, -2 ** 63, *range(1, 3000, 7)]
+    got = shards(spark, keys, weights)
+    assert got == {k: recomputed(k, weights) for k in keys}
+
+
+def test_query_recomputed_outside_spark(spark, sf_dir):
+    for r in sharding.op1_sharding(spark, sf_dir).select("doc_id", "shard", "grown_shard").collect():
+        assert r["shard"] == recomputed(r["doc_id"], sharding.equal_shards(16))
+        assert r["grown_shard"] == recomputed(r["doc_id"], sharding.equal_shards(17))
