@@ -165,3 +165,42 @@ def test_stream_restart_processes_only_new_files(spark, trainer):
     q.awaitTermination()
     out = spark.read.parquet(base + "/sink")
     assert out.count() == recs.count() and out.select("account_id").distinct().count() == recs.count()
+
+
+def test_training_rows_are_spread_evenly(spark):
+    from lapse.models.train import ROWS_PER_TASK, spread_evenly
+    sizes = lambda df: df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    n = 3 * ROWS_PER_TASK
+    uneven = spark.range(n).select(F.col("id").alias("account_id")).repartition(4, (F.col("account_id") < n - 9))
+    assert max(sizes(uneven)) >= n - 9
+    even = spread_evenly(uneven, n)
+    assert sum(sizes(even)) == n and max(sizes(even)) <= 1.1 * ROWS_PER_TASK and even.distinct().count() == n
+    assert spread_evenly(uneven, ROWS_PER_TASK) is uneven
+
+
+def test_forest_with_cached_nodes_is_the_same_forest(spark):
+    from lapse.models.train import forest, with_weights
+    rows = [(i, float((i * 37) % 100), float((i * 7) % 13), int((i * 37) % 100 > 80)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "account_id long, x double, z double, churned int")
+    df = with_weights(df, df).coalesce(2).cache()
+    ours = forest(["x", "z"], ModelParams(forest_trees=5, forest_depth=5))
+    plain = forest(["x", "z"], ModelParams(forest_trees=5, forest_depth=5))
+    plain.getStages()[-1].setCacheNodeIds(False)
+    assert ours.getStages()[-1].getCacheNodeIds()
+    trees = [m.fit(df).stages[-1].toDebugString.split("\n", 1)[1] for m in (ours, plain)]
+    assert trees[0] == trees[1]
+
+
+def test_rows_are_scored_once_for_all_metrics(spark):
+    from pyspark.sql.types import DoubleType
+
+    from lapse.models.train import evaluate
+    calls = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        calls.add(1)
+        return x / 500
+    df = spark.range(400).select(F.col("id").alias("account_id"), (F.col("id") % 2).cast("int").alias("churned"),
+                                 F.udf(score, DoubleType())(F.col("id").cast("double")).alias("score"))
+    row = evaluate(df).first()
+    assert calls.value == 400 and 0.5 <= row.roc_auc <= 0.51 and row.brier is not None
