@@ -204,3 +204,14 @@ def test_rows_are_scored_once_for_all_metrics(spark):
                                  F.udf(score, DoubleType())(F.col("id").cast("double")).alias("score"))
     row = evaluate(df).first()
     assert calls.value == 400 and 0.5 <= row.roc_auc <= 0.51 and row.brier is not None
+
+
+def test_at_most_the_first_rounds_are_fitted_twice(spark, monkeypatch):
+    from lapse.models import train
+    rows = [(i, float((i * 37) % 100), int((i * 37) % 100 > 80)) for i in range(300)]
+    df = spark.createDataFrame(rows, "account_id long, x double, churned int")
+    df = train.with_weights(df, df).coalesce(1).cache()
+    fitted, gbt = [], train.gbt
+    monkeypatch.setattr(train, "gbt", lambda feats, p, rounds: fitted.append(rounds) or gbt(feats, p, rounds))
+    train.fit_early_stopped(["x"], df, df, ModelParams(gbt_iter=12, gbt_first=2, gbt_patience=12))
+    assert sum(fitted) <= 12 + 2
