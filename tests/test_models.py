@@ -215,3 +215,22 @@ def test_at_most_the_first_rounds_are_fitted_twice(spark, monkeypatch):
     monkeypatch.setattr(train, "gbt", lambda feats, p, rounds: fitted.append(rounds) or gbt(feats, p, rounds))
     train.fit_early_stopped(["x"], df, df, ModelParams(gbt_iter=12, gbt_first=2, gbt_patience=12))
     assert sum(fitted) <= 12 + 2
+
+
+def test_boosters_are_fitted_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    from lapse.models import train
+    both = threading.Barrier(2, timeout=60)
+
+    def fit(feats, *_):
+        both.wait()
+        return feats
+    monkeypatch.setattr(train, "fit_early_stopped", fit)
+    monkeypatch.setattr(train, "positive_probability", lambda model, df, out="score": model)
+    monkeypatch.setattr(train, "evaluate", lambda feats: spark.createDataFrame([(float(len(feats)),)], "roc_auc double"))
+    monkeypatch.setattr(train, "calibrated_pipeline", lambda model, valid: model)
+    t = Trainer.__new__(Trainer)
+    t.spark, t.params, t.features, t.content = spark, ModelParams(), ["has_card", "x"], "both at once"
+    t.fit_part = t.valid = t.test = None
+    assert t.scorer() == ("gbt", ["has_card", "x"], ["has_card", "x"])
